@@ -1,2 +1,133 @@
-def register(catalog):
-    pass
+"""Text statistics: tokens, counts, co-occurrence, bigrams."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemill.catalog import text_sql as S
+from tidemill.catalog.base import Catalog
+from tidemill.functions.numbers import log_sum
+from tidemill.functions.text import distinct_tokens, snippet, tokenize
+from tidemill.operators import bigrams as B
+from tidemill.operators import cooccurrence as C
+from tidemill.operators import counts as N
+from tidemill.operators.stripes import unroll
+from tidemill.runtime import scratch_path
+from tidemill.sources.sinks import write_table, write_text
+from tidemill.sources.text import lines
+
+MIN_COUNT = 10
+GIVEN_WORDS = ("the", "and", "la", "de")
+
+
+def _lines(t):
+    return lines(t.documents)
+
+
+def _rounded(df, *columns):
+    for c in columns:
+        df = df.withColumn(c, F.round(c, 8))
+    return df
+
+
+def _capped(t):
+    found = _lines(t).select(
+        "doc_id", "line_no", distinct_tokens(F.col("line"), 100).alias("first"), F.explode(distinct_tokens(F.col("line"))).alias("term")
+    )
+    return found.select("doc_id", "line_no", "term", F.array_contains("first", F.col("term")).alias("within_100"))
+
+
+def _text_round_trip(t, df):
+    path = scratch_path(t.spark, "text")
+    write_text(df, path)
+    parts = F.split("value", "\t")
+    return t.spark.read.text(path).select(parts[0].alias("term"), parts[1].cast("bigint").alias("n"))
+
+
+def _overwritten(t):
+    path = scratch_path(t.spark, "replaced")
+    write_table(N.word_count(_lines(t)), path)
+    return write_table(N.prefix_count(_lines(t)), path)
+
+
+def _log(value):
+    return F.when(value > 0, F.log(value)).otherwise(F.lit(float("-inf")))
+
+
+def register(catalog: Catalog) -> None:
+    add = catalog.add
+    add("src_lines", _lines, f"WITH {S.LINES} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, line FROM lines")
+    add("tokenize",
+        lambda t: _lines(t).select("doc_id", "line_no", F.posexplode(tokenize(F.col("line"))).alias("pos", "term")),
+        f"""WITH {S.TOKENS} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no,
+        CAST(unnest(generate_series(0, len(t) - 1)) AS INTEGER) AS pos, unnest(t) AS term FROM tokens WHERE len(t) > 0""")
+    add("prefix2", lambda t: N.prefixes(_lines(t)).distinct(),
+        f"WITH {S.WORDS} SELECT DISTINCT substr(term, 1, 2) AS prefix FROM words WHERE length(term) >= 2")
+    add("distinct_tokens_capped", _capped,
+        rf"""WITH {S.LINE_WORDS}, first AS (SELECT doc_id, line_no, list_distinct({S.cleaned(
+            "array_to_string(list_filter(string_split_regex(line, '[ \\t\\n\\r\\f]+'), lambda w: length(w) > 0)[1:100], ' ')"
+        )}) AS f FROM lines)
+        SELECT lw.doc_id, CAST(lw.line_no AS INTEGER) AS line_no, term, list_contains(f, term) AS within_100
+        FROM lw JOIN first ON lw.doc_id = first.doc_id AND lw.line_no = first.line_no""")
+    add("bigrams", lambda t: B.bigram_counts(_lines(t)), f"WITH {S.BIGRAMS} SELECT a, b, n FROM counts")
+    add("snippet", lambda t: _lines(t).select("doc_id", "line_no", snippet(F.col("line")).alias("snippet")),
+        f"""WITH {S.LINES} SELECT doc_id, CAST(line_no AS INTEGER) AS line_no,
+        CASE WHEN length(line) > 80 THEN substr(line, 1, 80) || '...' ELSE line END AS snippet FROM lines""")
+    add("log_math",
+        lambda t: t.lineitem.select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+            F.round(F.log10("l_extendedprice"), 6).alias("log10"), F.round(F.log("l_quantity"), 6).alias("ln"),
+            F.round(F.exp("l_discount"), 6).alias("exp"), F.round(F.log1p("l_tax"), 6).alias("log1p")),
+        """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(log10(l_extendedprice), 6) AS log10,
+        round(ln(l_quantity), 6) AS ln, round(exp(l_discount), 6) AS exp, round(ln(1 + l_tax), 6) AS log1p FROM lineitem""")
+    add("log_sum",
+        lambda t: t.lineitem.select(
+            "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+            F.round(F.exp(log_sum(_log(F.col("l_discount")), _log(F.col("l_tax")))), 6).alias("total")),
+        """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, round(l_discount + l_tax, 6) AS total FROM lineitem""")
+
+    add("word_count", lambda t: N.word_count(_lines(t)), f"WITH {S.WORDS} SELECT term, count(*) AS n FROM words GROUP BY 1")
+    add("prefix_count", lambda t: N.prefix_count(_lines(t)),
+        f"WITH {S.WORDS} SELECT substr(term, 1, 2) AS prefix, count(*) AS n FROM words WHERE length(term) >= 2 GROUP BY 1")
+    add("top_terms", lambda t: N.top_counts(N.word_count(_lines(t)), 3),
+        f"WITH {S.WORDS} SELECT term, count(*) AS n FROM words GROUP BY 1 ORDER BY n DESC, term LIMIT 3")
+    add("prefix_lookup", lambda t: N.count_of(N.prefix_count(_lines(t)), "li"),
+        f"WITH {S.WORDS} SELECT 'li' AS prefix, count(*) AS n FROM words WHERE term LIKE 'li%'")
+    add("line_count_nonempty", lambda t: N.nonempty_line_count(_lines(t)),
+        f"WITH {S.TOKENS} SELECT count(*) AS n FROM tokens WHERE len(t) > 0")
+    add("line_freq", lambda t: N.line_freq(_lines(t)), f"WITH {S.LINE_WORDS} SELECT term, n FROM freq")
+    add("cooc_pairs",
+        lambda t: C.cooccurrences(_lines(t)).groupBy("x").agg(
+            F.count(F.lit(1)).alias("partners"), F.sum("n").alias("shared_lines"), F.max("n").alias("most")),
+        f"""WITH {S.LINE_WORDS}, p AS (SELECT l.term AS x, r.term AS y, count(*) AS n FROM lw l JOIN lw r
+        ON l.doc_id = r.doc_id AND l.line_no = r.line_no AND l.term <> r.term GROUP BY 1, 2)
+        SELECT x, count(*) AS partners, CAST(sum(n) AS BIGINT) AS shared_lines, max(n) AS most FROM p GROUP BY 1""")
+    add("cooc_stripes",
+        lambda t: unroll(C.cooccurrence_stripes(_lines(t), MIN_COUNT), "x", "y", "n"),
+        f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, n FROM pmi")
+    add("pmi_pairs", lambda t: _rounded(C.pmi(_lines(t), MIN_COUNT), "pmi"),
+        f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, n, round(pmi, 8) AS pmi FROM pmi")
+    add("pmi_stripes",
+        lambda t: _rounded(unroll(C.pmi_stripes(_lines(t), MIN_COUNT), "x", "y", "pmi"), "pmi"),
+        f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, round(pmi, 8) AS pmi FROM pmi")
+    add("pmi_top", lambda t: C.top_pairs(_rounded(C.pmi(_lines(t), MIN_COUNT), "pmi"), 10),
+        f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, n, round(pmi, 8) AS pmi FROM pmi ORDER BY round(pmi, 8) DESC, x, y LIMIT 10")
+    add("pmi_for_word", lambda t: C.top_partners(_rounded(C.pmi(_lines(t), MIN_COUNT), "pmi"), GIVEN_WORDS, 3).select("x", "y", "pmi", "rank"),
+        f"""WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, round(pmi, 8) AS pmi,
+        CAST(row_number() OVER (PARTITION BY x ORDER BY round(pmi, 8) DESC, y) AS INTEGER) AS rank
+        FROM pmi WHERE x IN {GIVEN_WORDS} QUALIFY rank <= 3""")
+    add("pmi_pair_count", lambda t: C.pair_count(C.half_pairs(_lines(t), MIN_COUNT)),
+        f"WITH {S.half_pmi(MIN_COUNT)} SELECT count(*) AS n FROM half")
+    add("bigram_relfreq_pairs", lambda t: _rounded(B.relative_frequencies(B.bigram_counts(_lines(t))), "value"),
+        f"""WITH {S.BIGRAMS} SELECT a, b, round(n / total, 8) AS value FROM counts JOIN totals USING (a)
+        UNION ALL SELECT a, '*', CAST(total AS DOUBLE) FROM totals""")
+    add("bigram_relfreq_stripes",
+        lambda t: _rounded(unroll(B.relative_frequency_stripes(B.bigram_counts(_lines(t))), "a", "b", "f"), "f"),
+        f"WITH {S.BIGRAMS} SELECT a, b, round(n / total, 8) AS f FROM counts JOIN totals USING (a)")
+
+    add("sink_text", lambda t: _text_round_trip(t, N.word_count(_lines(t))),
+        f"WITH {S.WORDS} SELECT term, count(*) AS n FROM words GROUP BY 1")
+    add("sink_overwrite", _overwritten,
+        f"WITH {S.WORDS} SELECT substr(term, 1, 2) AS prefix, count(*) AS n FROM words WHERE length(term) >= 2 GROUP BY 1")
+    add("sink_intermediate", lambda t: write_table(N.line_freq(_lines(t)), scratch_path(t.spark, "side")),
+        f"WITH {S.LINE_WORDS} SELECT term, n FROM freq")
