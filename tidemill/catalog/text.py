@@ -31,9 +31,10 @@ def _rounded(df, *columns):
 
 
 def _capped(t):
-    found = _lines(t).select(
-        "doc_id", "line_no", distinct_tokens(F.col("line"), 100).alias("first"), F.explode(distinct_tokens(F.col("line"))).alias("term")
+    both = _lines(t).select(
+        "doc_id", "line_no", distinct_tokens(F.col("line"), 100).alias("first"), distinct_tokens(F.col("line")).alias("all")
     )
+    found = both.select("doc_id", "line_no", "first", F.explode("all").alias("term"))
     return found.select("doc_id", "line_no", "term", F.array_contains("first", F.col("term")).alias("within_100"))
 
 

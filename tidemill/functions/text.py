@@ -9,16 +9,14 @@ from pyspark.sql import functions as F
 BLANKS = r" \t\n\r\f"
 LINE_BREAK = r"\r\n|\r|\n"
 
-# One separator is a run of non-letters with at least one blank in it. The look-behind lets a
-# match begin only right after a letter, so a long run of punctuation is scanned once.
-_EDGES = r"^[^a-z]+|[^a-z]+$"
-_SEPARATOR = rf"(?<=[a-z])[^a-z{BLANKS}]*+[{BLANKS}][^a-z]*+"
+# From the first to the last letter of a run of non-blanks: what is left of a word once
+# non-letters are stripped from both ends.
+_TOKEN = rf"[a-z](?:[^{BLANKS}]*[a-z])?"
 
 
 def tokenize(text: Column) -> Column:
     """Array of lower-cased tokens without leading and trailing non-letters, none empty."""
-    trimmed = F.regexp_replace(F.lower(text), _EDGES, "")
-    return F.array_remove(F.split(trimmed, _SEPARATOR), "")
+    return F.regexp_extract_all(F.lower(text), F.lit(_TOKEN), F.lit(0))
 
 
 def has_token(text: Column) -> Column:

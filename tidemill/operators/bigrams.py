@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import tokenize
+from tidemill.operators.counts import unnested
 from tidemill.operators.stripes import stripes
 from tidemill.runtime import attach
 
@@ -15,7 +16,7 @@ def bigrams(lines: DataFrame) -> DataFrame:
     tokens = lines.select(tokenize(F.col("line")).alias("t"))
     rest = F.greatest(F.size("t") - 1, F.lit(0))
     pairs = F.arrays_zip(F.slice("t", 1, rest).alias("a"), F.slice("t", 2, rest).alias("b"))
-    return tokens.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
+    return unnested(tokens.select(F.explode_outer(pairs).alias("p")), "p").select("p.a", "p.b")
 
 
 def bigram_counts(lines: DataFrame) -> DataFrame:

@@ -8,9 +8,18 @@ from pyspark.sql import functions as F
 from tidemill.functions.text import distinct_tokens, has_token, prefix2, tokenize
 
 
+def unnested(exploded: DataFrame, column: str) -> DataFrame:
+    """Rows of an outer explode without those of empty arrays.
+
+    A plain explode makes the optimizer test the size of the array below it, and that would
+    compute the tokens twice.
+    """
+    return exploded.filter(F.col(column).isNotNull())
+
+
 def words(lines: DataFrame) -> DataFrame:
     """Every token of every line as ``term``."""
-    return lines.select(F.explode(tokenize(F.col("line"))).alias("term"))
+    return unnested(lines.select(F.explode_outer(tokenize(F.col("line"))).alias("term")), "term")
 
 
 def word_count(lines: DataFrame) -> DataFrame:
@@ -47,7 +56,9 @@ def nonempty_line_count(lines: DataFrame) -> DataFrame:
 def line_terms(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
     """Each distinct token of each line, with ``width``, the number of them in its line."""
     distinct = lines.select("doc_id", "line_no", distinct_tokens(F.col("line"), max_tokens).alias("u"))
-    return distinct.select("doc_id", "line_no", F.size("u").alias("width"), F.explode("u").alias("term"))
+    return unnested(
+        distinct.select("doc_id", "line_no", F.size("u").alias("width"), F.explode_outer("u").alias("term")), "term"
+    )
 
 
 def line_freq(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:

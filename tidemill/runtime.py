@@ -24,6 +24,7 @@ def build_session(app: str = "tidemill", cpus: str = "*", **settings: str) -> Sp
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.sql.session.timeZone", "UTC")
@@ -66,6 +67,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def spread_input(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan that has fewer partitions than the cluster has cores.
+
+    Only inputs of a few file splits are shuffled; a large input keeps its splits.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
+def shuffle_partitions(df: DataFrame) -> int:
+    """The configured number. Given explicitly to ``repartition``, it is not lowered for a
+    small input, which matters where a stage turns few bytes into much work."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Hint a broadcast when a counted bound holds; beyond it the planner chooses the join.
 

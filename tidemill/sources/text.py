@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import LINE_BREAK
+from tidemill.runtime import spread_input
 
 
 def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per line of each document: ``doc_id, line_no, line``, counted from 0."""
-    return docs.select(
+    return spread_input(docs.select(doc_id, text), doc_id).select(
         F.col(doc_id).alias("doc_id"), F.posexplode(F.split(text, LINE_BREAK)).alias("line_no", "line")
     )
 
