@@ -1,2 +1,74 @@
-def register(catalog):
-    pass
+"""Inverted index and Boolean retrieval."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tidemill.catalog.base import Catalog
+from tidemill.catalog.text_sql import cleaned
+from tidemill.operators import index as I
+from tidemill.operators import retrieval as Q
+from tidemill.runtime import scratch_path
+from tidemill.sources.sinks import fetch_postings, write_index
+
+QUERY = "the and AND la OR de AND"
+BATCH = [(1, "the and AND"), (2, "la de OR les AND"), (3, "nosuchword the OR"), (4, "nosuchword the AND"), (5, "th")]
+
+WORDS = f"words AS (SELECT doc_id, unnest({cleaned('text')}) AS term FROM documents)"
+POSTINGS = f"{WORDS}, postings AS (SELECT term, doc_id, count(*) AS tf FROM words GROUP BY 1, 2)"
+GAPS = f"""{POSTINGS}, gaps AS (SELECT term, row_number() OVER w - 1 AS pos,
+  doc_id - lag(doc_id, 1, 0) OVER w AS gap, tf FROM postings WINDOW w AS (PARTITION BY term ORDER BY doc_id))"""
+SNIPPET = "CASE WHEN length(text) > 80 THEN substr(text, 1, 80) || '...' ELSE text END AS snippet"
+
+
+def docs_of(term: str) -> str:
+    return f"(SELECT DISTINCT doc_id FROM postings WHERE term = '{term}')"
+
+
+def sets(query: str) -> str:
+    """A postfix query as SQL set operations."""
+    stack: list[str] = []
+    for piece in query.split():
+        if piece in ("AND", "OR"):
+            right, left = stack.pop(), stack.pop()
+            stack.append(f"(SELECT * FROM {left} {'INTERSECT' if piece == 'AND' else 'UNION'} SELECT * FROM {right})")
+        else:
+            stack.append(docs_of(piece))
+    return stack[0]
+
+
+def _stored(t):
+    path = scratch_path(t.spark, "index")
+    write_index(I.term_freq(t.documents), path)
+    return path
+
+
+def register(catalog: Catalog) -> None:
+    add = catalog.add
+    add("term_freq", lambda t: I.term_freq(t.documents), f"WITH {POSTINGS} SELECT term, doc_id, tf FROM postings")
+    add("doc_freq", lambda t: I.doc_freq(I.term_freq(t.documents)),
+        f"WITH {POSTINGS} SELECT term, count(*) AS df FROM postings GROUP BY 1")
+    add("build_index", lambda t: I.flat_postings(I.posting_lists(I.term_freq(t.documents))),
+        f"WITH {POSTINGS} SELECT term, count(*) OVER (PARTITION BY term) AS df, doc_id, tf FROM postings")
+    add("build_index_table", lambda t: t.spark.read.parquet(_stored(t)).select("term", "doc_id", "tf"),
+        f"WITH {POSTINGS} SELECT term, doc_id, tf FROM postings")
+    add("sink_index",
+        lambda t: t.spark.read.parquet(_stored(t)).groupBy("term").agg(
+            F.countDistinct("bucket").alias("buckets"), F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf")),
+        f"WITH {POSTINGS} SELECT term, CAST(1 AS BIGINT) AS buckets, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM postings GROUP BY 1")
+    add("gap_encode", lambda t: I.gap_encode(I.term_freq(t.documents)), f"WITH {GAPS} SELECT term, pos, gap, tf FROM gaps")
+    add("gap_decode", lambda t: I.gap_decode(I.gap_encode(I.term_freq(t.documents))),
+        f"WITH {POSTINGS} SELECT term, doc_id, tf FROM postings")
+    add("fetch_postings", lambda t: fetch_postings(t.spark, _stored(t), "the"),
+        f"WITH {POSTINGS} SELECT term, doc_id, tf FROM postings WHERE term = 'the'")
+    add("fetch_doc_set", lambda t: I.doc_set(I.term_freq(t.documents), "la"), f"WITH {POSTINGS} SELECT doc_id FROM {docs_of('la')}")
+    add("bool_and", lambda t: Q.search_sets(I.term_freq(t.documents), "the and AND"),
+        f"WITH {POSTINGS} SELECT doc_id FROM {sets('the and AND')}")
+    add("bool_or", lambda t: Q.search_sets(I.term_freq(t.documents), "the la OR"),
+        f"WITH {POSTINGS} SELECT doc_id FROM {sets('the la OR')}")
+    add("boolean_search", lambda t: Q.show_results(Q.search(I.term_freq(t.documents), QUERY), t.documents),
+        f"WITH {POSTINGS} SELECT doc_id, {SNIPPET} FROM documents WHERE doc_id IN (SELECT doc_id FROM {sets(QUERY)})")
+    add("boolean_search_batch", lambda t: Q.search_many(I.term_freq(t.documents), BATCH),
+        f"WITH {POSTINGS} " + " UNION ALL ".join(f"SELECT CAST({qid} AS INTEGER) AS qid, doc_id FROM {sets(q)}" for qid, q in BATCH))
+    add("hydrate_docs", lambda t: Q.hydrate(I.doc_set(I.term_freq(t.documents), "de"), t.documents),
+        f"WITH {POSTINGS} SELECT doc_id, {SNIPPET} FROM documents WHERE doc_id IN {docs_of('de')}")
