@@ -44,13 +44,3 @@ def fetch_postings(spark: SparkSession, path: str, term: str, buckets: int = IND
     return index.filter((F.col("bucket") == bucket_of(F.lit(term), buckets)) & (F.col("term") == term)).select(
         "term", "doc_id", "tf"
     )
-
-
-def dump_nodes(nodes: DataFrame, shown: int = 10) -> DataFrame:
-    """``id, ranks, neighbors`` as readable text; long neighbor lists are cut for display."""
-    more = F.when(F.size("neighbors") > shown, F.format_string(" (%d more)", F.size("neighbors") - shown)).otherwise("")
-    listed = F.concat(
-        F.lit("["), F.array_join(F.slice("neighbors", 1, shown).cast("array<string>"), ", "), F.lit("]"), more
-    )
-    ranks = F.concat(F.lit("["), F.array_join(F.col("ranks").cast("array<string>"), ", "), F.lit("]"))
-    return nodes.select(F.format_string("{%d %s %s}", "id", ranks, listed).alias("value"))
