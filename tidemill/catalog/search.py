@@ -9,7 +9,7 @@ from tidemill.catalog.text_sql import cleaned
 from tidemill.operators import index as I
 from tidemill.operators import retrieval as Q
 from tidemill.runtime import scratch_path
-from tidemill.sources.sinks import fetch_postings, write_index
+from tidemill.sources.sinks import fetch_postings, write_index, write_table
 
 QUERY = "the and AND la OR de AND"
 BATCH = [(1, "the and AND"), (2, "la de OR les AND"), (3, "nosuchword the OR"), (4, "nosuchword the AND"), (5, "th")]
@@ -37,6 +37,11 @@ def sets(query: str) -> str:
     return stack[0]
 
 
+def _postings(t):
+    """Postings kept as a table, which is read twice below."""
+    return write_table(I.term_freq(t.documents), scratch_path(t.spark, "postings"))
+
+
 def _stored(t):
     path = scratch_path(t.spark, "index")
     write_index(I.term_freq(t.documents), path)
@@ -56,8 +61,8 @@ def register(catalog: Catalog) -> None:
         lambda t: t.spark.read.parquet(_stored(t)).groupBy("term").agg(
             F.countDistinct("bucket").alias("buckets"), F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf")),
         f"WITH {POSTINGS} SELECT term, CAST(1 AS BIGINT) AS buckets, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM postings GROUP BY 1")
-    add("gap_encode", lambda t: I.gap_encode(I.term_freq(t.documents)), f"WITH {GAPS} SELECT term, pos, gap, tf FROM gaps")
-    add("gap_decode", lambda t: I.gap_decode(I.gap_encode(I.term_freq(t.documents))),
+    add("gap_encode", lambda t: I.gap_encode(_postings(t)), f"WITH {GAPS} SELECT term, pos, gap, tf FROM gaps")
+    add("gap_decode", lambda t: I.gap_decode(I.gap_encode(_postings(t))),
         f"WITH {POSTINGS} SELECT term, doc_id, tf FROM postings")
     add("fetch_postings", lambda t: fetch_postings(t.spark, _stored(t), "the"),
         f"WITH {POSTINGS} SELECT term, doc_id, tf FROM postings WHERE term = 'the'")

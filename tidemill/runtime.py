@@ -67,13 +67,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def _setting_bytes(spark: SparkSession, name: str) -> int:
+    text = spark.conf.get(name).strip().lower().removesuffix("b")
+    units = {"k": 10, "m": 20, "g": 30, "t": 40}
+    return int(text[:-1]) << units[text[-1]] if text[-1] in units else int(text)
+
+
 def spread_input(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan that has fewer partitions than the cluster has cores.
+    """Spread a scan over all cores if it is smaller than one file split per core.
 
-    Only inputs of a few file splits are shuffled; a large input keeps its splits.
+    A file of one row group is otherwise read by one task. Larger inputs keep their splits
+    and are not shuffled.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    small = size < cores * _setting_bytes(spark, "spark.sql.files.maxPartitionBytes")
+    return df.repartition(cores, key) if small else df
 
 
 def shuffle_partitions(df: DataFrame) -> int:
