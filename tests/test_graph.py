@@ -56,6 +56,8 @@ def test_stats_and_checks(make, rows):
         G.require_unique(nodes)
     with pytest.raises(ValueError):
         R.personalized(nodes, edges, [1, 77], 1)
+    with pytest.raises(Exception, match="2 records for node 2"):
+        R.personalized(nodes, edges, [1], 1)
 
 
 LINES = ["0 1 2 3 4 5 6 7 8 9", "1 0 0 2", "2 0 99", "3", "4 3 5", "5 0", "6 7", "7 6 6 6 0", "8", "9 0 1"]

@@ -48,3 +48,16 @@ def test_checkpoints_go_to_the_named_folder(spark):
     assert runtime.checkpoint_dir(spark) == spark.conf.get(runtime.CHECKPOINT_SETTING)
     kept = runtime.cut_lineage(spark.range(5))
     assert "Scan ExistingRDD" in kept._jdf.queryExecution().executedPlan().toString() and kept.count() == 5
+
+
+def test_kept_partitioning_saves_a_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = runtime.keep_partitioned(spark.range(1000).select((F.col("id") % 50).alias("k"), "id"), "k")
+        joined = spark.range(50).select(F.col("id").alias("k")).join(kept, "k")
+        assert joined.count() == 1000
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert plan.count("Exchange hashpartitioning") == 1

@@ -18,7 +18,9 @@ class Tables:
         self.spark, self._folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        return read_table(self.spark, self._folder, name)
+        frame = read_table(self.spark, self._folder, name)
+        setattr(self, name, frame)  # the schema of a table is looked up once per query
+        return frame
 
 
 class Catalog:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.operators.graph import require_nodes
-from tidemill.runtime import attach, cut_lineage
+from tidemill.runtime import attach, cut_lineage, keep_partitioned
 from tidemill.sources.sinks import write_table
 
 JUMP = 0.15
@@ -22,28 +22,40 @@ EDGES_PER_PART = 100_000
 def prepare(
     nodes: DataFrame, edges: DataFrame, edges_per_part: int = EDGES_PER_PART, hot_rows: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Nodes as ``id, parts`` and edges as ``src, part, dst, share, dst_parts``.
+    """Nodes as ``id, parts`` and edges as ``src, part, dst, share, dst_parts``, both kept.
 
     ``share`` is what a node sends along the edge. Copies of an edge become one edge of larger
     share. The out-edges of a node with a great many are stored in several parts, so that each
     step joins ranks with pieces of bounded size. Edges to ids without a node are left out
-    after the shares are set; their mass then counts as missing.
+    after the shares are set; their mass then counts as missing. Two records for one id are an
+    error when the nodes are read.
     """
-    links = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies"))
-    out = links.groupBy("src").agg(F.sum("copies").alias("degree"), F.count(F.lit(1)).alias("targets"))
-    into = links.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("origins"))
-    parts = F.ceil(F.coalesce("targets", F.lit(0)) / edges_per_part).cast("int")
-    known = nodes.join(out.select(F.col("src").alias("id"), "targets"), "id", "left").select("id", parts.alias("parts"))
-
-    shared = attach(links, out, ["src"], ["dst"], "targets", hot_rows=hot_rows).select(
+    links = cut_lineage(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies")))
+    zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    marks = (
+        nodes.select("id", one.alias("records"), zero.alias("degree"), zero.alias("targets"), zero.alias("origins"))
+        .union(links.select("src", zero, "copies", one, zero))
+        .union(links.select("dst", zero, zero, zero, one))
+    )
+    sums = [F.sum(c).alias(c) for c in ("records", "degree", "targets", "origins")]
+    twice = F.raise_error(F.format_string("%d records for node %d", "records", "id")).cast("int")
+    parts = F.ceil(F.col("targets") / edges_per_part).cast("int")
+    known = cut_lineage(
+        marks.groupBy("id")
+        .agg(*sums)
+        .filter(F.col("records") > 0)
+        .select("id", "degree", "targets", "origins", F.when(F.col("records") > 1, twice).otherwise(parts).alias("parts"))
+    )
+    senders = known.filter(F.col("parts") > 0).select(F.col("id").alias("src"), "degree", "targets", "parts")
+    shared = attach(links, senders, ["src"], ["dst"], "targets", hot_rows=hot_rows).select(
         "src",
-        F.pmod(F.xxhash64("dst"), F.ceil(F.col("targets") / edges_per_part)).cast("int").alias("part"),
+        F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int").alias("part"),
         "dst",
         (F.col("copies") / F.col("degree")).alias("share"),
     )
-    targets = known.join(into, "id").select(F.col("id").alias("dst"), F.col("parts").alias("dst_parts"), "origins")
+    targets = known.select(F.col("id").alias("dst"), F.col("parts").alias("dst_parts"), "origins")
     landed = attach(shared, targets, ["dst"], ["src"], "origins", hot_rows=hot_rows)
-    return known, landed.select("src", "part", "dst", "share", "dst_parts")
+    return known.select("id", "parts"), cut_lineage(landed.select("src", "part", "dst", "share", "dst_parts"))
 
 
 def start_at(known: DataFrame, sources: Sequence[int]) -> DataFrame:
@@ -118,7 +130,7 @@ def personalized(
     """``id, source, rank`` of every node for each source after a number of iterations."""
     require_nodes(nodes, list(sources))
     known, links = prepare(nodes, edges, **options)
-    links = cut_lineage(links)
+    links = keep_partitioned(links, "src", "part")
     state = start_at(known, sources)
     for _ in range(iterations):
         state = personalized_step(state, links, jump)
@@ -139,7 +151,7 @@ def prepare_run(nodes: DataFrame, edges: DataFrame, sources: Sequence[int], base
 
 def run(spark: SparkSession, base: str, start: int, end: int, jump: float = JUMP) -> DataFrame:
     """Go on from stored iteration ``start`` and store each one up to ``end``."""
-    edges = spark.read.parquet(f"{base}/edges")
+    edges = keep_partitioned(spark.read.parquet(f"{base}/edges"), "src", "part")
     state = spark.read.parquet(_iteration(base, start))
     for number in range(start, end):
         state = write_table(personalized_step(state, edges, jump), _iteration(base, number + 1))
@@ -149,7 +161,7 @@ def run(spark: SparkSession, base: str, start: int, end: int, jump: float = JUMP
 def uniform(nodes: DataFrame, edges: DataFrame, iterations: int, jump: float = JUMP, **options: int) -> DataFrame:
     """``id, rank, log_rank``: jump and missing mass are shared by all nodes alike."""
     known, links = prepare(nodes, edges, **options)
-    known, links = cut_lineage(known), cut_lineage(links)
+    links = keep_partitioned(links, "src", "part")
     total = known.count()
     home = known.select("id", F.lit(0).cast("bigint").alias("source"), "parts")
     state = home.withColumn("rank", F.lit(1.0 / total))

@@ -62,6 +62,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def keep_partitioned(df: DataFrame, *keys: str) -> DataFrame:
+    """``cut_lineage`` with the rows hash-partitioned and sorted by ``keys``.
+
+    A later join on ``keys`` then shuffles its other side only. Spark remembers the layout of
+    a checkpoint just for a plan that is fixed in advance, so adaptive execution is off while
+    these rows are laid out; ``df`` should be cheap to read by then.
+    """
+    spark = df.sparkSession
+    setting = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        return cut_lineage(df.repartition(shuffle_partitions(df), *keys).sortWithinPartitions(*keys))
+    finally:
+        spark.conf.set(setting, before)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path inside the shared folder."""
     return os.path.join(checkpoint_dir(spark), f"{name}-{uuid.uuid4().hex}")
