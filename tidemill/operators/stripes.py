@@ -2,27 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.runtime import attach
+STRIPE_ENTRIES = 100_000
 
-STRIPE_ENTRIES = 10_000
 
+def stripes(rows: DataFrame, key: str, other: str, value: str, blocks: Column) -> DataFrame:
+    """``key, block, stripe``: other -> value, sorted, in ``blocks`` maps per key.
 
-def with_fan(rows: DataFrame, key: str, other: str, hot_rows: int | None = None) -> DataFrame:
-    """Add ``fan``, the number of rows of the same key."""
-    fan = rows.groupBy(key).agg(F.count(F.lit(1)).alias("fan"))
-    return attach(rows, fan, [key], [other], "fan", hot_rows=hot_rows)
-
-
-def stripes(rows: DataFrame, key: str, other: str, value: str, entries: int = STRIPE_ENTRIES) -> DataFrame:
-    """``key, block, stripe``: other -> value, sorted.
-
-    ``rows`` carries ``fan``. A key with up to ``entries`` rows has the one block 0. A larger
-    one is spread over as many blocks as its fan asks for, so that no task ever holds it whole.
+    With one block per key the stripe is whole. The caller asks for as many blocks as it takes
+    to bound a map, and ``other`` is spread over them by hash, so that no task ever holds all
+    entries of a large key.
     """
-    blocks = F.ceil(F.col("fan") / entries)
     return (
         rows.withColumn("block", F.pmod(F.xxhash64(other), blocks).cast("int"))
         .groupBy(key, "block")
