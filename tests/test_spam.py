@@ -56,6 +56,11 @@ def test_one_step_of_training(spark, rows):
     assert got == pytest.approx({1: 0.002, 2: 0.001})
 
 
+def test_empty_instances_teach_nothing(spark, rows):
+    df = spark.createDataFrame([("m", "a", "ham", [])], f"model_id string, {INSTANCES}")
+    assert rows(P.train_online(df, F.col("doc_id"))) == [] == rows(P.train_batch(df, 2))
+
+
 def plain_descent(instances, delta):
     weights = {}
     for label, features in instances:

@@ -14,7 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.runtime import attach, cut_lineage
+from tidemill.operators.counts import unnested
+from tidemill.runtime import attach, cut_lineage, is_small, keep_partitioned
 
 DELTA = 0.002
 SHARD_ROWS = 20_000
@@ -32,8 +33,10 @@ def predicted(score: Column) -> Column:
 def _weighted(instances: DataFrame, model: DataFrame, hot_rows: int | None) -> DataFrame:
     """``doc_id, label`` and, per occurrence of a feature, ``weights``: model -> weight or null."""
     occurrences = instances.select("doc_id", "label", F.explode_outer("features").alias("feature"))
-    fan = occurrences.groupBy("feature").agg(F.count(F.lit(1)).alias("fan"))
     packed = model.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("model_id", "weight"))).alias("weights"))
+    if hot_rows is None and is_small(model):
+        return occurrences.join(F.broadcast(packed), "feature", "left")
+    fan = occurrences.groupBy("feature").agg(F.count(F.lit(1)).alias("fan"))
     return attach(occurrences, fan.join(packed, "feature"), ["feature"], ["doc_id"], "fan", how="left", hot_rows=hot_rows)
 
 
@@ -80,7 +83,7 @@ def ensemble(
 def _one_pass(delta: float):
     def descend(shard: pd.DataFrame) -> pd.DataFrame:
         shard = shard.sort_values(["seq", "doc_id"])
-        features, index = np.unique(np.concatenate(shard["features"].to_list()), return_inverse=True)
+        features, index = np.unique(np.concatenate(shard["features"].to_list()).astype(np.int32), return_inverse=True)
         ends = np.cumsum(shard["features"].map(len).to_numpy())
         weights = np.zeros(len(features))
         for spam, start, end in zip(shard["spam"], np.concatenate(([0], ends[:-1])), ends):
@@ -106,7 +109,7 @@ def train_online(
     Gradient Descent", NIPS 2010), so that no task ever holds the whole training set.
     """
     shards = max(1, math.ceil(instances.count() / shard_rows))
-    sharded = instances.filter(F.size("features") > 0).select(
+    sharded = instances.select(
         F.col("model_id"),
         F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"),
         "doc_id",
@@ -156,11 +159,14 @@ def train_batch(
     Residuals are summed inside the tasks before the shuffle by feature.
     """
     key = ["model_id", "feature"]
-    counted = cut_lineage(
-        instances.select("model_id", "doc_id", is_spam(F.col("label")).alias("spam"), F.explode("features").alias("feature"))
-        .groupBy("model_id", "doc_id", "spam", "feature")
-        .agg(F.count(F.lit(1)).alias("k"))
-    )
+    marked = instances.select("model_id", "doc_id", is_spam(F.col("label")).alias("spam"), "features")
+
+    def count_features(rows: DataFrame) -> DataFrame:
+        exploded = rows.select("model_id", "doc_id", "spam", F.explode_outer("features").alias("feature"))
+        return unnested(exploded, "feature").groupBy("model_id", "doc_id", "spam", "feature").agg(F.count(F.lit(1)).alias("k"))
+
+    # Laid out by document, so that a step with a broadcast model shuffles gradients only.
+    counted = keep_partitioned(marked, "model_id", "doc_id", then=count_features)
     fan = counted.groupBy(*key).agg(F.count(F.lit(1)).alias("fan"))
     model: DataFrame | None = None
     for _ in range(epochs):
@@ -168,7 +174,10 @@ def train_batch(
             residual = counted.select(*key, "k", (F.col("spam") - 0.5).alias("residual"))
             before = fan.select(*key, "fan", F.lit(0.0).alias("weight"))
         else:
-            weighted = attach(counted, model, key, ["doc_id"], "fan", hot_rows=hot_rows)
+            if hot_rows is None and is_small(model):
+                weighted = counted.join(F.broadcast(model.select(*key, "weight")), key)
+            else:
+                weighted = attach(counted, model, key, ["doc_id"], "fan", hot_rows=hot_rows)
             per_doc = weighted.groupBy("model_id", "doc_id", "spam").agg(
                 F.sum(F.col("k") * F.col("weight")).alias("score"),
                 F.collect_list(F.struct("feature", "k")).alias("features"),

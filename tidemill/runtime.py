@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000
 HOT_SALTS = 4_096
+# Up to this many rows a kept dimension is broadcast whole.
+SMALL_ROWS = 100_000
 
 
 def build_session(app: str = "tidemill", cpus: str = "*", **settings: str) -> SparkSession:
@@ -62,19 +65,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def keep_partitioned(df: DataFrame, *keys: str) -> DataFrame:
+def keep_partitioned(
+    df: DataFrame, *keys: str, then: Callable[[DataFrame], DataFrame] = lambda rows: rows
+) -> DataFrame:
     """``cut_lineage`` with the rows hash-partitioned and sorted by ``keys``.
 
-    A later join on ``keys`` then shuffles its other side only. Spark remembers the layout of
-    a checkpoint just for a plan that is fixed in advance, so adaptive execution is off while
-    these rows are laid out; ``df`` should be cheap to read by then.
+    A later join or grouping on ``keys`` then leaves these rows where they are. ``then`` is a
+    step that keeps the partitioning and runs after it. Spark remembers the layout of a
+    checkpoint just for a plan that is fixed in advance, so adaptive execution is off while
+    the rows are laid out; ``df`` should be cheap to read by then.
     """
     spark = df.sparkSession
     setting = "spark.sql.adaptive.enabled"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "false")
     try:
-        return cut_lineage(df.repartition(shuffle_partitions(df), *keys).sortWithinPartitions(*keys))
+        return cut_lineage(then(df.repartition(shuffle_partitions(df), *keys)).sortWithinPartitions(*keys))
     finally:
         spark.conf.set(setting, before)
 
@@ -109,12 +115,17 @@ def shuffle_partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows; counts no more than one beyond."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Hint a broadcast when a counted bound holds; beyond it the planner chooses the join.
 
-    The count reads at most ``max_rows + 1`` rows. Meant for narrow dimension tables.
+    Meant for dimensions of few narrow columns that are stored or kept.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def attach(
