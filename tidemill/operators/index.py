@@ -37,7 +37,7 @@ def posting_lists(postings: DataFrame, block_bits: int = BLOCK_BITS, hot_rows: i
     block = F.when(F.col("df") <= 2**block_bits, F.lit(0).cast("bigint")).otherwise(F.shiftright("doc_id", block_bits))
     return (
         joined.groupBy("term", block.alias("block"))
-        .agg(F.first("df").alias("df"), F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
+        .agg(F.max("df").alias("df"), F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.dates import after_period, before_period, day_text, in_period, year_month
 from tidemill.functions.numbers import charge, disc_price, money
+from tidemill.runtime import broadcast_if_small, cut_lineage
 
 
 def ship_count(lineitem: DataFrame, date: str) -> DataFrame:
@@ -36,17 +37,17 @@ def parts_suppliers(
 ) -> DataFrame:
     """Q3: part and supplier name of every lineitem shipped at ``date``; ``?`` where absent.
 
-    Names do not change which rows come first, so the limit is taken before the lookups, and
-    the lookups then read only the keys of those rows.
+    Names do not change which rows come first, so the limit is taken before the lookups. The
+    rows are kept, so that lineitem is read once, and the lookups fetch only their names.
     """
     keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
     shipped = lineitem.filter(in_period(lineitem, "l_shipdate", date)).select(*keys)
     part, supplier = part.select("p_partkey", "p_name"), supplier.select("s_suppkey", "s_name")
     if limit is not None:
-        shipped = shipped.orderBy(*keys).limit(limit)
-        wanted = F.broadcast(shipped)  # at most ``limit`` rows
-        part = F.broadcast(part.join(wanted, F.col("p_partkey") == F.col("l_partkey"), "left_semi"))
-        supplier = F.broadcast(supplier.join(wanted, F.col("s_suppkey") == F.col("l_suppkey"), "left_semi"))
+        shipped = cut_lineage(shipped.orderBy(*keys).limit(limit))
+        wanted = broadcast_if_small(shipped)
+        part = part.join(wanted, F.col("p_partkey") == F.col("l_partkey"), "left_semi")
+        supplier = supplier.join(wanted, F.col("s_suppkey") == F.col("l_suppkey"), "left_semi")
     return (
         shipped.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
         .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"), "left")
