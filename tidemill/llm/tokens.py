@@ -86,7 +86,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, by_words: bool =
                 encoder = Encoder(shared.value, by_words)
                 store, path = opened(folder)
                 store.create_dir(path)
-                file = store.open_output_stream(f"{path}/{name}")
+                file = store.open_output_stream(f"{path}/{name}", compression=None)
                 file.write((MAGIC + bytes([encoder.dtype.itemsize])).ljust(HEADER, b"\0"))
             payloads = encoder.encode(utf8(batch.column(1)))
             file.write(b"".join(payloads))
@@ -137,7 +137,7 @@ def build_index(records: DataFrame, folder: str) -> DataFrame:
         name = new_name("index", number, "mph")
         store, path = opened(folder)
         store.create_dir(path)
-        with store.open_output_stream(f"{path}/{name}") as file:
+        with store.open_output_stream(f"{path}/{name}", compression=None) as file:
             file.write(data)
         return pa.table({"index_file": pa.array([number], pa.int64()), "name": [name], "files": pa.array([files], pa.int64())})
 

@@ -119,7 +119,7 @@ def write_archives(pages: DataFrame, folder: str, least: int = REVISIT_BYTES) ->
             if file is None:
                 store, path = opened(folder)
                 store.create_dir(path)
-                file = store.open_output_stream(f"{path}/{name}")
+                file = store.open_output_stream(f"{path}/{name}", compression=None)
             ids, urls, digests, refers = (batch.column(i).to_pylist() for i in (0, 1, 3, 4))
             begins, sizes = [], []
             for page_id, url, payload, digest, first in zip(ids, urls, utf8(batch.column(2)), digests, refers):
@@ -153,7 +153,7 @@ def build_index(captures: DataFrame, folder: str) -> DataFrame:
             if file is None:
                 store, path = opened(folder)
                 store.create_dir(path)
-                file = store.open_output_stream(f"{path}/{name}")
+                file = store.open_output_stream(f"{path}/{name}", compression=None)
             data = zlib.compress("\n".join(json.dumps(c) for c in held).encode())
             blocks.append([held[0][0], held[0][1], at, len(data)])
             file.write(data)
