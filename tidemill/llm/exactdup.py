@@ -45,39 +45,43 @@ def _rank(doc_id, uid) -> tuple:
     return (doc_id is not None, doc_id or 0, uid)
 
 
-def _local(batches):
+def _local(local_bytes: int):
     """Per row its winner inside this partition; the winner's row carries the content."""
-    first = TaskContext.get().partitionId() << 33
-    uid, held, groups = first, 0, {}
-    press = zstandard.ZstdCompressor(level=1)
-
-    def emptied():
-        rows = []
-        for (digest, body), members in groups.items():
-            best = max(members, key=lambda m: _rank(*m))
-            for doc_id, number in members:
-                mine = number == best[1]
-                rows.append((doc_id, number, best[1], best[0] if mine else None, digest if mine else None, body if mine else None))
-        groups.clear()
-        columns = list(zip(*rows)) or [()] * len(_LOCAL)
-        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LOCAL)], schema=_LOCAL)
 
-    for batch in batches:
-        for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
-            key = (hashlib.sha256(text).digest(), press.compress(text))
-            members = groups.get(key)
-            if members is None:
-                groups[key] = [(doc_id, uid)]
-                held += len(key[1]) + 200
-            else:
-                members.append((doc_id, uid))
-                held += 100
-            uid += 1
-            if held > LOCAL_BYTES:
-                yield emptied()
-                held = 0
-    if groups:
-        yield emptied()
+    def run(batches):
+        first = TaskContext.get().partitionId() << 33
+        uid, held, groups = first, 0, {}
+        press = zstandard.ZstdCompressor(level=1)
+
+        def emptied():
+            rows = []
+            for (digest, body), members in groups.items():
+                best = max(members, key=lambda m: _rank(*m))
+                for doc_id, number in members:
+                    mine = number == best[1]
+                    rows.append((doc_id, number, best[1], best[0] if mine else None, digest if mine else None, body if mine else None))
+            groups.clear()
+            columns = list(zip(*rows)) or [()] * len(_LOCAL)
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LOCAL)], schema=_LOCAL)
+
+        for batch in batches:
+            for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                key = (hashlib.sha256(text).digest(), press.compress(text))
+                members = groups.get(key)
+                if members is None:
+                    groups[key] = [(doc_id, uid)]
+                    held += len(key[1]) + 200
+                else:
+                    members.append((doc_id, uid))
+                    held += 100
+                uid += 1
+                if held > local_bytes:
+                    yield emptied()
+                    held = 0
+        if groups:
+            yield emptied()
+
+    return run
 
 
 def _merged(batches):
@@ -106,7 +110,7 @@ def _combine(winners: DataFrame, *keys) -> DataFrame:
     return met.select("uid", "top", "digest", "body").mapInArrow(_merged, _spark_schema(_MERGED))
 
 
-def exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
+def exact_duplicates(docs: DataFrame, salts: int = SALTS, local_bytes: int = LOCAL_BYTES) -> DataFrame:
     """``doc_id, keep_id, group_size, kept, text_sha256``: one row per row of ``docs``.
 
     Rows are equal when their texts are identical; null counts as the empty text. The row with
@@ -115,7 +119,7 @@ def exact_duplicates(docs: DataFrame, salts: int = SALTS) -> DataFrame:
     ``doc_id`` and ``text`` are not read. An empty table gives an empty result.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    local = stored(rows.mapInArrow(_local, _spark_schema(_LOCAL)), "copies-local")
+    local = stored(rows.mapInArrow(_local(local_bytes), _spark_schema(_LOCAL)), "copies-local")
     going = local.filter(F.col("uid") == F.col("winner"))
     salt = F.pmod(F.xxhash64("uid"), F.lit(salts))
     salted = stored(_combine(going, F.col("digest"), salt), "copies-salted")

@@ -50,27 +50,28 @@ def document_keys(text: bytes, least: int = MIN_LENGTH) -> set[bytes]:
     return {key for key in map(line_key, text.split(b"\n")) if _long_enough(key, least)}
 
 
-def _bits(keys, segments: int) -> tuple[np.ndarray, np.ndarray]:
+def _bits(keys, segments: int, segment_bits: int = SEGMENT_BITS) -> tuple[np.ndarray, np.ndarray]:
     """Segment of every key, and its HASHES bit positions within the segment."""
     low = np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), np.uint64)
     high = (low >> np.uint64(32)) | np.uint64(1)
     steps = np.arange(HASHES, dtype=np.uint64)[:, None]
     mixed = (low * np.uint64(0x9E3779B97F4A7C15)) ^ (low >> np.uint64(29))
     segment = ((mixed >> np.uint64(20)) % np.uint64(segments)).astype(np.int64)
-    return segment, ((low + steps * high) % np.uint64(SEGMENT_BITS)).astype(np.int64)
+    return segment, ((low + steps * high) % np.uint64(segment_bits)).astype(np.int64)
 
 
 class _Filters:
     """Bit arrays of the segments that were touched."""
 
-    def __init__(self):
+    def __init__(self, segment_bits: int = SEGMENT_BITS):
+        self.segment_bits = segment_bits
         self.once: dict[int, np.ndarray] = {}
         self.twice: dict[int, np.ndarray] = {}
 
     def add(self, segment: np.ndarray, bits: np.ndarray) -> None:
         for s in np.unique(segment):
-            once = self.once.setdefault(int(s), np.zeros(SEGMENT_BITS, bool))
-            twice = self.twice.setdefault(int(s), np.zeros(SEGMENT_BITS, bool))
+            once = self.once.setdefault(int(s), np.zeros(self.segment_bits, bool))
+            twice = self.twice.setdefault(int(s), np.zeros(self.segment_bits, bool))
             mine = bits[:, segment == s]
             # Keys of one call may share bits; those set by an earlier key of the call count too.
             flat = mine.T
@@ -78,7 +79,7 @@ class _Filters:
             order = np.sort(flat, axis=None)
             repeated = order[1:][order[1:] == order[:-1]]
             if repeated.size:
-                shared = np.zeros(SEGMENT_BITS, bool)
+                shared = np.zeros(self.segment_bits, bool)
                 shared[repeated] = True
                 seen |= (once | shared)[flat].all(axis=1)
             twice[flat[seen].ravel()] = True
@@ -109,22 +110,22 @@ def _emit(filters: _Filters):
         yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _PARTIAL)], schema=_PARTIAL)
 
 
-def twice_filter(docs: DataFrame, least: int = MIN_LENGTH) -> dict[int, bytes]:
+def twice_filter(docs: DataFrame, least: int = MIN_LENGTH, segment_bits: int = SEGMENT_BITS, max_segments: int = MAX_SEGMENTS) -> list[bytes]:
     """Packed bits of the filter of keys that may be in two documents, by segment."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = docs.agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
-    segments = int(min(MAX_SEGMENTS, max(1, -(-lines * BITS_PER_LINE // SEGMENT_BITS))))
+    segments = int(min(max_segments, max(1, -(-lines * BITS_PER_LINE // segment_bits))))
 
     def partial(batches):
-        filters = _Filters()
+        filters = _Filters(segment_bits)
         for batch in batches:
             keys = [key for text in utf8(batch.column(0)) for key in document_keys(text, least)]
             if keys:
-                filters.add(*_bits(keys, segments))
+                filters.add(*_bits(keys, segments, segment_bits))
         yield from _emit(filters)
 
     def merged(batches):
-        filters, expand = _Filters(), zstandard.ZstdDecompressor()
+        filters, expand = _Filters(segment_bits), zstandard.ZstdDecompressor()
         for batch in batches:
             for s, once, twice in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 filters.merge(s, _unpacked(once, expand), _unpacked(twice, expand))
@@ -135,17 +136,18 @@ def twice_filter(docs: DataFrame, least: int = MIN_LENGTH) -> dict[int, bytes]:
     whole = parts.repartition(min(segments, shuffle_partitions(docs)), "segment").mapInArrow(merged, schema)
     expand = zstandard.ZstdDecompressor()
     found = {row["segment"]: expand.decompress(row["twice"]) for row in whole.select("segment", "twice").toLocalIterator()}
-    return {s: found.get(s, bytes(SEGMENT_BITS // 8)) for s in range(segments)}
+    return [found.get(s, bytes(segment_bits // 8)) for s in range(segments)]
 
 
-def suspects(docs: DataFrame, twice: dict[int, bytes], least: int = MIN_LENGTH) -> DataFrame:
+def suspects(docs: DataFrame, twice: list[bytes], least: int = MIN_LENGTH) -> DataFrame:
     """``doc_id, digest``: one row per document and key that the filter does not rule out."""
     shared = docs.sparkSession.sparkContext.broadcast(twice)
     schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary())])
 
     def run(batches):
         packed = shared.value
-        table = np.frombuffer(b"".join(packed[s] for s in range(len(packed))), np.uint8)
+        segment_bits = 8 * len(packed[0])
+        table = np.frombuffer(b"".join(packed), np.uint8)
         for batch in batches:
             ids, keys = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
@@ -154,8 +156,8 @@ def suspects(docs: DataFrame, twice: dict[int, bytes], least: int = MIN_LENGTH)
                 ids.extend([doc_id] * len(own))
             if not keys:
                 continue
-            segment, bits = _bits(keys, len(packed))
-            place = segment * SEGMENT_BITS + bits
+            segment, bits = _bits(keys, len(packed), segment_bits)
+            place = segment * segment_bits + bits
             hit = ((table[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1).all(axis=0)
             rows = np.flatnonzero(hit)
             yield pa.RecordBatch.from_arrays(
@@ -166,7 +168,7 @@ def suspects(docs: DataFrame, twice: dict[int, bytes], least: int = MIN_LENGTH)
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, digest binary")
 
 
-def drop_repeated_lines(docs: DataFrame, least: int = MIN_LENGTH) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, least: int = MIN_LENGTH, **filter_size: int) -> DataFrame:
     """``docs`` with the kept text, and with ``n_lines`` and ``n_dropped``.
 
     A line's key is the line without ASCII white space at its ends, A-Z lower-cased. Keys of at
@@ -179,7 +181,7 @@ def drop_repeated_lines(docs: DataFrame, least: int = MIN_LENGTH) -> DataFrame:
     kept = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        *others(docs, "doc_id", "text", "n_lines", "n_dropped"))
     known = kept.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
-    pairs = stored(suspects(known, twice_filter(known, least), least), "line-suspects")
+    pairs = stored(suspects(known, twice_filter(known, least, **filter_size), least), "line-suspects")
     holders = pairs.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     repeated = holders.filter(F.col("first") < F.col("last")).select("digest", "first")
     losing = pairs.join(repeated, "digest").filter(F.col("doc_id") != F.col("first")).distinct()
