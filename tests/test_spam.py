@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -87,18 +88,33 @@ def training(spark, sample):
 
 
 def test_training_follows_the_order(training, sample, rows):
-    got = {f: w for _, f, w in rows(P.train_online(training, F.col("doc_id"), 0.1))}
+    got = {f: w for _, f, w in rows(P.train_online(training, F.col("doc_id"), 0.1, shards=1))}
     assert got == pytest.approx(plain_descent([(y, x) for _, y, x in sample], 0.1))
 
 
 def test_training_in_shards_averages(training, sample, rows):
-    got = {f: w for _, f, w in rows(P.train_online(training, F.col("doc_id"), 0.1, shard_rows=30))}
-    shard = {r["doc_id"]: r["s"] for r in training.select("doc_id", F.pmod(F.xxhash64("doc_id"), F.lit(3)).alias("s")).collect()}
+    got = {f: w for _, f, w in rows(P.train_online(training, F.col("doc_id"), 0.1, shards=3))}
+    shard = {d: int(hashlib.md5(d.encode()).hexdigest()[:8], 16) % 3 for d, *_ in sample}
     parts = [plain_descent([(y, x) for d, y, x in sample if shard[d] == s], 0.1) for s in range(3)]
     want = {f: sum(p.get(f, 0.0) for p in parts) / 3 for f in {f for p in parts for f in p}}
     assert got == pytest.approx(want)
 
 
+@pytest.mark.parametrize("copies", [1, 40])
+def test_a_seed_gives_one_model(spark, sample, rows, copies):
+    """Alone or among other seeds, for few and for many instances."""
+    many = [(f"{d}-{k}", y, x) for k in range(copies) for d, y, x in sample]
+    df = spark.createDataFrame(many, INSTANCES).withColumn("model_id", F.lit("m")).repartition(5)
+    alone = {f: w for _, f, w in rows(P.train_shuffled(df, 1, 0.1, shards=3))}
+    among = {f: w for s, f, w in rows(P.train_repeatedly(df, [2, 1, 3], 0.1, shards=3)) if s == 1}
+    assert alone == among
+
+
+def test_a_shard_without_instances_does_not_count(spark, rows):
+    df = spark.createDataFrame([("m", "d", "spam", [1, 2, 1])], f"model_id string, {INSTANCES}")
+    assert {f: w for _, f, w in rows(P.train_online(df, F.col("doc_id"), shards=50))} == pytest.approx({1: 0.002, 2: 0.001})
+
+
 def test_shuffled_training_can_be_repeated(training, rows):
     first, again, other = (rows(P.train_shuffled(training, s, 0.1)) for s in (1, 1, 2))
     assert first == again != other

@@ -9,13 +9,15 @@ from tidemill.catalog.text_sql import cleaned
 from tidemill.functions.text import tokenize
 from tidemill.operators import spam as P
 from tidemill.operators.evaluation import roc_gap
-from tidemill.runtime import scratch_path, spread_input
+from tidemill.runtime import cut_lineage, scratch_path, spread_input
 from tidemill.sources.sinks import write_text
 from tidemill.sources.text import parse_instances, read_model
 
 EPOCHS = 3
 SEED = 7
 SEEDS = (1, 2, 3)
+# An ensemble has a column per model.
+MAX_MODELS = 1000
 # Two letters of a token give a feature from 0 to 701.
 FEATURES = 702
 
@@ -42,22 +44,25 @@ def batch_sql(epochs: int, model: str = "'all'") -> str:
 
 
 def online_sql(order: str, seeds: tuple[int, ...] = (0,)) -> str:
-    """One pass in the given order, one instance per step of the recursion; ``w`` is the model."""
+    """One pass over every shard in the given order, one instance per step of the recursion;
+    ``w`` is the mean of the shards."""
     return f"""{INSTANCES},
     dense AS MATERIALIZED (SELECT doc_id, spam, list(coalesce(k, 0)::DOUBLE ORDER BY feature) AS counts FROM
       (SELECT doc_id, spam, f AS feature FROM inst, range(0, {FEATURES}) r(f)) LEFT JOIN
       (SELECT doc_id, feature, k FROM counted) USING (doc_id, feature) GROUP BY 1, 2),
-    run AS MATERIALIZED (SELECT seed, row_number() OVER (PARTITION BY seed ORDER BY {order}) AS i, spam, counts
-      FROM dense, (VALUES {', '.join(f'({s})' for s in seeds)}) v(seed)),
-    sgd(seed, i, weights) AS (
-      SELECT seed, 0::BIGINT, list_transform(range(0, {FEATURES}), lambda x: 0.0::DOUBLE) FROM (VALUES {', '.join(f'({s})' for s in seeds)}) v(seed)
+    run AS MATERIALIZED (SELECT seed, shard, row_number() OVER (PARTITION BY seed, shard ORDER BY {order}) AS i, spam, counts
+      FROM (SELECT *, CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % {P.SHARDS} AS shard FROM dense),
+      (VALUES {', '.join(f'({s})' for s in seeds)}) v(seed)),
+    ends AS (SELECT seed, shard, max(i) AS i FROM run GROUP BY 1, 2),
+    sgd(seed, shard, i, weights) AS (
+      SELECT seed, shard, 0::BIGINT, list_transform(range(0, {FEATURES}), lambda x: 0.0::DOUBLE) FROM ends
       UNION ALL
-      SELECT seed, i, list_transform(range(1, {FEATURES + 1}), lambda j: weights[j] + d * counts[j]) FROM
-        (SELECT sgd.seed, run.i, weights, counts, 0.002 * (spam - 1 / (1 + exp(-list_dot_product(weights, counts)))) AS d
-         FROM sgd JOIN run ON run.seed = sgd.seed AND run.i = sgd.i + 1)),
-    w AS MATERIALIZED (SELECT seed AS model_id, feature, weight FROM
-      (SELECT seed, unnest(range(0, {FEATURES})) AS feature, unnest(weights) AS weight FROM sgd WHERE i = (SELECT count(*) FROM inst))
-      WHERE feature IN (SELECT feature FROM occ))"""
+      SELECT seed, shard, i, list_transform(range(1, {FEATURES + 1}), lambda j: weights[j] + d * counts[j]) FROM
+        (SELECT sgd.seed, sgd.shard, run.i, weights, counts, 0.002 * (spam - 1 / (1 + exp(-list_dot_product(weights, counts)))) AS d
+         FROM sgd JOIN run ON run.seed = sgd.seed AND run.shard = sgd.shard AND run.i = sgd.i + 1)),
+    w AS MATERIALIZED (SELECT seed AS model_id, feature, avg(weight) AS weight FROM
+      (SELECT seed, unnest(range(0, {FEATURES})) AS feature, unnest(weights) AS weight FROM sgd JOIN ends USING (seed, shard, i))
+      WHERE feature IN (SELECT feature FROM occ) GROUP BY 1, 2)"""
 
 
 SCORED = """scored AS (SELECT inst.doc_id, label, model_id, coalesce(score, 0.0) AS score FROM inst
@@ -96,10 +101,9 @@ def _rounded(df, column="score", digits=4):
 def _ensemble(t, method):
     rows = _by_language(t)
     trained = P.train_batch(rows, EPOCHS)
-    members = [r[0] for r in trained.select("model_id").distinct().orderBy("model_id").collect()]
-    scored = P.ensemble(rows, trained, members, method)
-    # A mean may end in a half at the fifth digit; it is moved off, where the last bit would decide.
-    return _rounded(scored.withColumn("score", F.col("score") + 3e-6))
+    # One model per language; the list is a parameter of the ensemble.
+    members = [r[0] for r in trained.select("model_id").distinct().orderBy("model_id").limit(MAX_MODELS).collect()]
+    return _rounded(P.ensemble(rows, trained, members, method), digits=6)
 
 
 def _lines(t):
@@ -115,7 +119,7 @@ def _model_round_trip(t):
 
 def _repeated(t):
     rows = _instances(t)
-    scored = P.scores(rows, P.train_repeatedly(rows, SEEDS), SEEDS)
+    scored = P.scores(rows, cut_lineage(P.train_repeatedly(rows, SEEDS)), SEEDS)
     flat = scored.select("label", F.explode("scores").alias("model_id", "score"))
     return roc_gap(_rounded(flat, digits=9), "model_id")
 
@@ -133,7 +137,7 @@ def register(catalog: Catalog) -> None:
         f"WITH {batch_sql(EPOCHS)}, {SCORED} SELECT doc_id, label, round(score, 4) AS score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS prediction FROM scored")
     add("spam_ensemble_average", lambda t: _ensemble(t, "average"),
         f"""WITH {batch_sql(EPOCHS, 'lang')}, {SCORED}, e AS (SELECT doc_id, label, avg(score) AS score FROM scored GROUP BY ALL)
-        SELECT doc_id, label, round(score + 3e-6, 4) AS score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS prediction FROM e""")
+        SELECT doc_id, label, round(score, 6) AS score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS prediction FROM e""")
     add("spam_ensemble_vote", lambda t: _ensemble(t, "vote"),
         f"""WITH {batch_sql(EPOCHS, 'lang')}, {SCORED}, e AS (SELECT doc_id, label, CAST(sum(CASE WHEN score > 0 THEN 1 ELSE -1 END) AS DOUBLE) AS score FROM scored GROUP BY ALL)
         SELECT doc_id, label, score, CASE WHEN score > 0 THEN 'spam' ELSE 'ham' END AS prediction FROM e""")

@@ -15,10 +15,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.counts import unnested
-from tidemill.runtime import attach, cut_lineage, is_small, keep_partitioned
+from tidemill.runtime import attach, cut_lineage, is_small, keep_partitioned, shuffle_partitions
 
 DELTA = 0.002
-SHARD_ROWS = 20_000
+SHARDS = 4
 
 
 def is_spam(label: Column) -> Column:
@@ -80,52 +80,72 @@ def ensemble(
     return scored.select("doc_id", "label", total.alias("score")).withColumn("prediction", predicted(F.col("score")))
 
 
+_WEIGHTS = ["model_id", "shard", "feature", "weight"]
+
+
 def _one_pass(delta: float):
-    def descend(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.sort_values(["seq", "doc_id"])
-        features, index = np.unique(np.concatenate(shard["features"].to_list()).astype(np.int32), return_inverse=True)
-        ends = np.cumsum(shard["features"].map(len).to_numpy())
-        weights = np.zeros(len(features))
-        for spam, start, end in zip(shard["spam"], np.concatenate(([0], ends[:-1])), ends):
-            seen = index[start:end]
-            with np.errstate(over="ignore"):  # a very low score has chance 0
-                chance = 1.0 / (1.0 + np.exp(-weights[seen].sum()))
-            np.add.at(weights, seen, (spam - chance) * delta)
-        return pd.DataFrame(
-            {"model_id": shard["model_id"].iloc[0], "shard": shard["shard"].iloc[0], "feature": features, "weight": weights}
-        )
+    """Follow the instances of each (model, shard) in the order they come in.
+
+    A task sees one instance after the other and holds the weights of one shard only.
+    """
+
+    def emitted(shard: tuple, weights: dict[int, float]) -> pd.DataFrame:
+        made = pd.DataFrame({"feature": np.array(list(weights), np.int32), "weight": np.array(list(weights.values()), float)})
+        made["model_id"], made["shard"] = shard
+        return made[_WEIGHTS]
+
+    def descend(batches):
+        current, weights = None, {}
+        for batch in batches:
+            for model, shard, spam, features in zip(batch["model_id"], batch["shard"], batch["spam"], batch["features"]):
+                if (model, shard) != current:
+                    if weights:
+                        yield emitted(current, weights)
+                    current, weights = (model, shard), {}
+                score = math.fsum(weights.get(f, 0.0) for f in features)
+                chance = 1.0 / (1.0 + math.exp(-score)) if score > -700 else 0.0
+                step = (spam - chance) * delta
+                for f in features:
+                    weights[f] = weights.get(f, 0.0) + step
+        if weights:
+            yield emitted(current, weights)
 
     return descend
 
 
-def train_online(
-    instances: DataFrame, seq: Column, delta: float = DELTA, shard_rows: int = SHARD_ROWS
-) -> DataFrame:
+def shard_of(doc_id: Column, shards: int) -> Column:
+    """Shard of a document: the first 32 bits of the MD5 of its id, modulo ``shards``."""
+    return F.pmod(F.conv(F.substring(F.md5(doc_id.cast("string")), 1, 8), 16, 10).cast("bigint"), F.lit(shards)).cast("int")
+
+
+def train_online(instances: DataFrame, seq: Column, delta: float = DELTA, shards: int = SHARDS) -> DataFrame:
     """Logistic regression by one pass of stochastic gradient descent in the order ``seq``.
 
-    ``instances`` also has ``model_id``; one model is trained for each. Up to ``shard_rows``
-    instances make one shard and are followed one by one. More are spread over as many shards
-    as needed, and the weights are averaged (Zinkevich et al., "Parallelized Stochastic
-    Gradient Descent", NIPS 2010), so that no task ever holds the whole training set.
+    ``instances`` also has ``model_id``; one model is trained for each. Its instances are dealt
+    to ``shards`` shards by document, each shard is followed one instance after the other, and
+    the weights of the shards that have instances are averaged (Zinkevich et al., "Parallelized
+    Stochastic Gradient Descent", NIPS 2010). ``shards`` is the caller's choice and changes the
+    model; nothing else about the size or the other models does. One shard follows all
+    instances of a model in one task.
     """
-    shards = max(1, math.ceil(instances.count() / shard_rows))
     sharded = instances.select(
         F.col("model_id"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(shards)).cast("int").alias("shard"),
+        shard_of(F.col("doc_id"), shards).alias("shard"),
         "doc_id",
         seq.alias("seq"),
         is_spam(F.col("label")).alias("spam"),
         "features",
     )
     kind = instances.schema["model_id"].dataType.simpleString()
-    trained = sharded.groupBy("model_id", "shard").applyInPandas(
+    together = sharded.repartition(shuffle_partitions(sharded), "model_id", "shard")
+    trained = together.sortWithinPartitions("model_id", "shard", "seq", "doc_id").mapInPandas(
         _one_pass(delta), f"model_id {kind}, shard int, feature int, weight double"
     )
-    if shards == 1:
-        return trained.select("model_id", "feature", "weight")
     # One row per model: the number of its shards that hold instances.
     used = sharded.groupBy("model_id").agg(F.count_distinct("shard").alias("used"))
-    summed = trained.groupBy("model_id", "feature").agg(F.sum("weight").alias("total"))
+    # At most one weight per shard, added in a fixed order: the same seed gives the same bits.
+    each = F.array_sort(F.collect_list("weight"))
+    summed = trained.groupBy("model_id", "feature").agg(F.aggregate(each, F.lit(0.0), lambda a, w: a + w).alias("total"))
     return summed.join(used, "model_id").select("model_id", "feature", (F.col("total") / F.col("used")).alias("weight"))
 
 
@@ -135,19 +155,19 @@ def shuffled_order(seed: Column | int) -> Column:
     return F.md5(F.concat_ws("|", F.col("doc_id").cast("string"), seed.cast("string")))
 
 
-def train_shuffled(instances: DataFrame, seed: int, delta: float = DELTA, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def train_shuffled(instances: DataFrame, seed: int, delta: float = DELTA, shards: int = SHARDS) -> DataFrame:
     """``train_online`` in a random order that ``seed`` fixes."""
-    return train_online(instances, shuffled_order(seed), delta, shard_rows)
+    return train_online(instances, shuffled_order(seed), delta, shards)
 
 
 def train_repeatedly(
-    instances: DataFrame, seeds: Sequence[int], delta: float = DELTA, shard_rows: int = SHARD_ROWS
+    instances: DataFrame, seeds: Sequence[int], delta: float = DELTA, shards: int = SHARDS
 ) -> DataFrame:
     """One shuffled run per seed, all at once; the seed becomes the model id."""
     copies = instances.select(
         F.explode(F.array(*[F.lit(s) for s in seeds])).alias("model_id"), "doc_id", "label", "features"
     )
-    return train_online(copies, shuffled_order(F.col("model_id")), delta, shard_rows)
+    return train_online(copies, shuffled_order(F.col("model_id")), delta, shards)
 
 
 def train_batch(
