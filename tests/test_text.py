@@ -80,10 +80,13 @@ def test_bigram_frequencies(text_lines, rows, hot_rows):
 def test_stripes_of_a_large_key_are_cut(text_lines):
     words = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
     counts = B.bigram_counts(text_lines(*[f"a {w}" for w in words]))
-    cut = B.relative_frequency_stripes(counts, entries=50, hot_rows=10)
+    cut = B.relative_frequency_stripes(counts, blocks=6, hot_rows=10)
     blocks = [(r["a"], r["block"], len(r["stripe"])) for r in cut.collect()]
-    assert len(blocks) > 3 and sum(n for *_, n in blocks) == 300
+    assert len(blocks) == 6 and sum(n for *_, n in blocks) == 300
     assert max(n for *_, n in blocks) < 120
+    # The block of an entry does not depend on how many others there are.
+    few = B.relative_frequency_stripes(B.bigram_counts(text_lines("a waa")), blocks=6).first()
+    assert few["block"] == next(r["block"] for r in cut.collect() if "waa" in r["stripe"])
 
 
 def test_log_sum(spark):

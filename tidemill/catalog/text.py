@@ -103,11 +103,15 @@ def register(catalog: Catalog) -> None:
         f"""WITH {S.LINE_WORDS}, p AS (SELECT l.term AS x, r.term AS y, count(*) AS n FROM lw l JOIN lw r
         ON l.doc_id = r.doc_id AND l.line_no = r.line_no AND l.term <> r.term GROUP BY 1, 2)
         SELECT x, count(*) AS partners, CAST(sum(n) AS BIGINT) AS shared_lines, max(n) AS most FROM p GROUP BY 1""")
+    add("cooc_pairs_frequent", lambda t: C.cooccurrences(_lines(t), MIN_COUNT),
+        f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, n FROM pmi")
     add("cooc_stripes",
         lambda t: unroll(C.cooccurrence_stripes(_lines(t), MIN_COUNT), "x", "y", "n"),
         f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, n FROM pmi")
     add("pmi_pairs", lambda t: _rounded(C.pmi(_lines(t), MIN_COUNT), "pmi"),
         f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, n, round(pmi, 8) AS pmi FROM pmi")
+    add("pmi_pairs_capped", lambda t: _rounded(C.pmi(_lines(t), MIN_COUNT, max_tokens=20), "pmi"),
+        f"WITH {S.half_pmi(MIN_COUNT, 20)} SELECT x, y, n, round(pmi, 8) AS pmi FROM pmi")
     add("pmi_stripes",
         lambda t: _rounded(unroll(C.pmi_stripes(_lines(t), MIN_COUNT), "x", "y", "pmi"), "pmi"),
         f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, round(pmi, 8) AS pmi FROM pmi")

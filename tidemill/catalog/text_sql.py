@@ -26,10 +26,17 @@ BIGRAMS = (
 )
 
 
-def half_pmi(min_count: int) -> str:
+def first_pieces(line: str, n: int) -> str:
+    """The first blank-separated pieces of an SQL string."""
+    pieces = rf"list_filter(string_split_regex({line}, '[ \t\n\r\f]+'), lambda w: length(w) > 0)"
+    return f"array_to_string(({pieces})[1:{n}], ' ')"
+
+
+def half_pmi(min_count: int, max_tokens: int | None = None) -> str:
     """Pairs x < y by self join of the words of a line."""
+    words = LINE_WORDS if max_tokens is None else LINE_WORDS.replace(cleaned("line"), cleaned(first_pieces("line", max_tokens)))
     return (
-        f"{LINE_WORDS}, kept AS (SELECT lw.* FROM lw JOIN freq USING (term) WHERE n >= {min_count}), "
+        f"{words}, kept AS (SELECT lw.* FROM lw JOIN freq USING (term) WHERE n >= {min_count}), "
         "half AS (SELECT l.term AS x, r.term AS y, count(*) AS n FROM kept l JOIN kept r "
         "ON l.doc_id = r.doc_id AND l.line_no = r.line_no AND l.term < r.term "
         f"GROUP BY 1, 2 HAVING count(*) >= {min_count}), "

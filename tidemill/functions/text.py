@@ -24,12 +24,15 @@ def has_token(text: Column) -> Column:
     return F.lower(text).rlike("[a-z]")
 
 
+def first_pieces(text: Column, n: int) -> Column:
+    """The first ``n`` blank-separated pieces of the text."""
+    pieces = F.array_remove(F.split(text, rf"[{BLANKS}]+"), "")
+    return F.array_join(F.slice(pieces, 1, n), " ")
+
+
 def distinct_tokens(text: Column, max_tokens: int | None = None) -> Column:
     """Distinct tokens of the text, or of its first ``max_tokens`` blank-separated pieces."""
-    if max_tokens is not None:
-        pieces = F.array_remove(F.split(text, rf"[{BLANKS}]+"), "")
-        text = F.array_join(F.slice(pieces, 1, max_tokens), " ")
-    return F.array_distinct(tokenize(text))
+    return F.array_distinct(tokenize(text if max_tokens is None else first_pieces(text, max_tokens)))
 
 
 def prefix2(term: Column) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.text import tokenize
 from tidemill.operators.counts import unnested
-from tidemill.operators.stripes import STRIPE_ENTRIES, stripes
+from tidemill.operators.stripes import STRIPE_BLOCKS, stripes
 from tidemill.runtime import attach
 
 
@@ -44,8 +44,7 @@ def relative_frequencies(counts: DataFrame, hot_rows: int | None = None) -> Data
     )
 
 
-def relative_frequency_stripes(counts: DataFrame, entries: int = STRIPE_ENTRIES, hot_rows: int | None = None) -> DataFrame:
+def relative_frequency_stripes(counts: DataFrame, blocks: int = STRIPE_BLOCKS, hot_rows: int | None = None) -> DataFrame:
     """``a, block, stripe``: the shares of all successors of ``a`` as maps."""
     joined, _ = _with_marginals(counts, hot_rows)
-    shares = joined.select("a", "b", "fan", (F.col("n") / F.col("total")).alias("f"))
-    return stripes(shares, "a", "b", "f", F.ceil(F.col("fan") / entries))
+    return stripes(joined.select("a", "b", (F.col("n") / F.col("total")).alias("f")), "a", "b", "f", blocks)

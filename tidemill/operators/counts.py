@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.functions.text import distinct_tokens, has_token, prefix2, tokenize
+from tidemill.functions.text import distinct_tokens, first_pieces, has_token, prefix2, tokenize
 
 
 def unnested(exploded: DataFrame, column: str) -> DataFrame:
@@ -48,9 +48,10 @@ def count_of(counts: DataFrame, key: str) -> DataFrame:
     return counts.filter(F.col(counts.columns[0]) == key)
 
 
-def nonempty_line_count(lines: DataFrame) -> DataFrame:
-    """One row: number of lines with at least one token."""
-    return lines.filter(has_token(F.col("line"))).agg(F.count(F.lit(1)).alias("n"))
+def nonempty_line_count(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:
+    """One row: number of lines with at least one token, among the first ``max_tokens`` pieces."""
+    line = F.col("line") if max_tokens is None else first_pieces(F.col("line"), max_tokens)
+    return lines.filter(has_token(line)).agg(F.count(F.lit(1)).alias("n"))
 
 
 def line_terms(lines: DataFrame, max_tokens: int | None = None) -> DataFrame:

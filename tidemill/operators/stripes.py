@@ -2,21 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-STRIPE_ENTRIES = 100_000
+STRIPE_BLOCKS = 16
 
 
-def stripes(rows: DataFrame, key: str, other: str, value: str, blocks: Column) -> DataFrame:
-    """``key, block, stripe``: other -> value, sorted, in ``blocks`` maps per key.
+def stripes(rows: DataFrame, key: str, other: str, value: str, blocks: int = STRIPE_BLOCKS) -> DataFrame:
+    """``key, block, stripe``: other -> value, sorted, in up to ``blocks`` maps per key.
 
-    With one block per key the stripe is whole. The caller asks for as many blocks as it takes
-    to bound a map, and ``other`` is spread over them by hash, so that no task ever holds all
-    entries of a large key.
+    The block of an entry is ``pmod(xxhash64(other), blocks)`` at every size, so no task ever
+    holds all entries of a large key. ``blocks`` is the caller's choice: 1 gives whole stripes.
     """
     return (
-        rows.withColumn("block", F.pmod(F.xxhash64(other), blocks).cast("int"))
+        rows.withColumn("block", F.pmod(F.xxhash64(other), F.lit(blocks)).cast("int"))
         .groupBy(key, "block")
         .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(other, value)))).alias("stripe"))
     )
