@@ -54,12 +54,19 @@ def test_stats_and_checks(make, rows):
     assert rows(G.duplicate_structure(nodes)) == [(2, 2)]
     with pytest.raises(ValueError):
         G.require_unique(nodes)
-    with pytest.raises(ValueError):
-        R.personalized(nodes, edges, [1, 77], 1)
     with pytest.raises(Exception, match="2 records for node 2"):
         R.personalized(nodes, edges, [1], 1)
 
 
+def test_an_absent_source_is_an_error_everywhere(make, tmp_path):
+    nodes, edges = make("1 2", "2")
+    known, _ = R.prepare(nodes, edges)
+    for run in (lambda: R.personalized(nodes, edges, [1, 77], 1), lambda: R.start_at(known, [1, 77]), lambda: R.all_nodes(nodes, [77]),
+                lambda: R.prepare_run(nodes, edges, [77], str(tmp_path / "walk"))):
+        with pytest.raises(ValueError, match="77"):
+            run()
+
+
 LINES = ["0 1 2 3 4 5 6 7 8 9", "1 0 0 2", "2 0 99", "3", "4 3 5", "5 0", "6 7", "7 6 6 6 0", "8", "9 0 1"]
 
 
@@ -111,10 +118,28 @@ def test_top_nodes(make):
     assert best[0]["id"] == 0 and best[0]["score"] == f"{best[0]['rank']:.5f}"
 
 
-def test_partitioning_keeps_rows(make, rows):
+def test_partitioning_keeps_rows_and_keys_together(make, rows):
     _, edges = make(*LINES)
     for by_range in (False, True):
-        assert rows(G.partition_graph(edges, 3, by_range, "src")) == rows(edges)
+        parted = G.partition_graph(edges, 3, by_range, "src")
+        assert rows(parted) == rows(edges)
+        placed = parted.select("src", F.spark_partition_id().alias("part")).collect()
+        places = {}
+        for r in placed:
+            places.setdefault(r["src"], set()).add(r["part"])
+        assert all(len(p) == 1 for p in places.values()) and 1 < len({r["part"] for r in placed}) <= 3
+        if by_range:
+            order = [p.pop() for _, p in sorted(places.items())]
+            assert order == sorted(order)
+
+
+def test_rank_report(make):
+    nodes, edges = make("1 2", "2 1", "3 1", "4")
+    ranks = R.uniform(nodes, edges, 3)
+    logs = {r["id"]: r["log_rank"] for r in ranks.collect()}
+    got = R.report(ranks, 2).orderBy("position").collect()
+    best = sorted(logs, key=lambda i: (-logs[i], i))[:2]
+    assert [(r["position"], r["id"], r["score"]) for r in got] == [(k + 1, i, f"{logs[i]:.5f}") for k, i in enumerate(best)]
 
 
 def test_readable(spark, make):

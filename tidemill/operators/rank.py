@@ -24,6 +24,7 @@ def prepare(
 ) -> tuple[DataFrame, DataFrame]:
     """Nodes as ``id, parts`` and edges as ``src, part, dst, share, dst_parts``, both kept.
 
+    The edges are written once, partitioned and sorted by (src, part) for the joins of the steps.
     ``share`` is what a node sends along the edge. Copies of an edge become one edge of larger
     share. The out-edges of a node with a great many are stored in several parts, so that each
     step joins ranks with pieces of bounded size. Edges to ids without a node are left out
@@ -55,11 +56,12 @@ def prepare(
     )
     targets = known.select(F.col("id").alias("dst"), F.col("parts").alias("dst_parts"), "origins")
     landed = attach(shared, targets, ["dst"], ["src"], "origins", hot_rows=hot_rows)
-    return known.select("id", "parts"), cut_lineage(landed.select("src", "part", "dst", "share", "dst_parts"))
+    return known.select("id", "parts"), keep_partitioned(landed.select("src", "part", "dst", "share", "dst_parts"), "src", "part")
 
 
 def start_at(known: DataFrame, sources: Sequence[int]) -> DataFrame:
-    """All mass of each source at the source itself."""
+    """All mass of each source at the source itself; a source without a node is an error."""
+    require_nodes(known, list(sources))
     return known.filter(F.col("id").isin(*sources)).select(
         "id", F.col("id").alias("source"), F.lit(1.0).alias("rank"), "parts"
     )
@@ -112,6 +114,7 @@ def all_nodes(nodes: DataFrame, sources: Sequence[int], state: DataFrame | None
 
     Without a state this is the rank vector at the start.
     """
+    require_nodes(nodes, list(sources))
     every = nodes.select("id", F.explode(F.array(*[F.lit(s).cast("bigint") for s in sources])).alias("source"))
     if state is None:
         return every.withColumn("rank", F.when(F.col("id") == F.col("source"), 1.0).otherwise(0.0))
@@ -128,9 +131,7 @@ def personalized(
     **options: int,
 ) -> DataFrame:
     """``id, source, rank`` of every node for each source after a number of iterations."""
-    require_nodes(nodes, list(sources))
     known, links = prepare(nodes, edges, **options)
-    links = keep_partitioned(links, "src", "part")
     state = start_at(known, sources)
     for _ in range(iterations):
         state = personalized_step(state, links, jump)
@@ -143,7 +144,6 @@ def _iteration(base: str, number: int) -> str:
 
 def prepare_run(nodes: DataFrame, edges: DataFrame, sources: Sequence[int], base: str) -> None:
     """Store the edges and iteration 0 of a walk under ``base``."""
-    require_nodes(nodes, list(sources))
     known, links = prepare(nodes, edges)
     write_table(links, f"{base}/edges")
     write_table(start_at(known, sources), _iteration(base, 0))
@@ -161,7 +161,6 @@ def run(spark: SparkSession, base: str, start: int, end: int, jump: float = JUMP
 def uniform(nodes: DataFrame, edges: DataFrame, iterations: int, jump: float = JUMP, **options: int) -> DataFrame:
     """``id, rank, log_rank``: jump and missing mass are shared by all nodes alike."""
     known, links = prepare(nodes, edges, **options)
-    links = keep_partitioned(links, "src", "part")
     total = known.count()
     home = known.select("id", F.lit(0).cast("bigint").alias("source"), "parts")
     state = home.withColumn("rank", F.lit(1.0 / total))
@@ -173,6 +172,13 @@ def uniform(nodes: DataFrame, edges: DataFrame, iterations: int, jump: float = J
     return state.select("id", "rank", F.log("rank").alias("log_rank"))
 
 
+def report(ranks: DataFrame, k: int) -> DataFrame:
+    """``position, id, score``: the ``k`` best nodes of a uniform rank with their log rank."""
+    best = ranks.orderBy(F.desc("rank"), "id").limit(k)
+    position = F.row_number().over(Window.orderBy(F.desc("rank"), "id"))
+    return best.select(position.alias("position"), "id", F.format_string("%.5f", "log_rank").alias("score"))
+
+
 def top_nodes(ranks: DataFrame, k: int) -> DataFrame:
     """The ``k`` best nodes per source; every task passes on at most ``k`` of each."""
     best = Window.partitionBy("source").orderBy(F.desc("rank"), "id")
