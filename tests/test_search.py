@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators import index as I
 from tidemill.operators import retrieval as Q
-from tidemill.sources.sinks import fetch_postings, write_index
+from tidemill.sources.sinks import fetch_postings, write_index, write_text
 from tidemill.sources.text import read_lines
 
 QUERIES = [
@@ -98,3 +98,41 @@ def test_lines_of_files_are_documents(spark, rows, tmp_path):
     found = Q.search(I.term_freq(docs, text="line"), "rose red AND")
     assert [s for _, s in rows(Q.hydrate(found, docs, text="line"))] == ["red rose"]
     assert docs.select(F.countDistinct("doc_id")).first()[0] == 2
+
+
+def test_line_ids_do_not_depend_on_the_splits(spark, tmp_path):
+    for name in ("a", "b"):
+        (tmp_path / f"{name}.txt").write_text("".join(f"{name} line {i}\n" for i in range(3000)))
+    found = []
+    for size in ("4k", "128m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+        try:
+            found.append({tuple(r) for r in read_lines(spark, str(tmp_path)).collect()})
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert found[0] == found[1] and len({r[0] for r in found[0]}) == 6000
+    assert all(line == f"{path[-5]} line {number}" for _, path, number, line in found[0])
+
+
+def test_lines_can_be_indexed(spark, rows, tmp_path):
+    text = spark.createDataFrame([(1, 0, "white rose"), (1, 1, "red rose"), (2, 0, "red")], "doc_id bigint, line_no int, line string")
+    path = str(tmp_path / "lines")
+    write_index(I.term_freq(text, text="line", unit=("line_no",)), path, 4)
+    ids = ("doc_id", "line_no")
+    found = Q.search(Q.stored_postings(spark, path, ["red", "rose"], 4), "red rose AND", ids)
+    assert rows(Q.hydrate(found, text, ids, "line")) == [(1, 1, "red rose")]
+
+
+def test_many_queries_have_one_plan(spark, postings):
+    plans = [Q.search_many(postings, [(i, "rose red OR pluck AND") for i in range(n)])._jdf.queryExecution().analyzed().toString() for n in (1, 400)]
+    assert len(plans[0].splitlines()) == len(plans[1].splitlines())
+    assert Q.search_many(postings, [(i, "rose red OR pluck AND") for i in range(400)]).count() == 800
+
+
+def test_text_output_keeps_its_columns(spark, tmp_path):
+    df = spark.createDataFrame([("a", None, "c"), (None, None, None)], "x string, y int, z string")
+    for null, want in (("", ["\t\t", "a\t\tc"]), ("?", ["?\t?\t?", "a\t?\tc"])):
+        write_text(df, str(tmp_path / "out"), null=null)
+        assert sorted(r[0] for r in spark.read.text(str(tmp_path / "out")).collect()) == want

@@ -15,10 +15,10 @@ class Tables:
     """Attribute access to the Parquet tables of one folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self._folder = spark, folder
+        self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        frame = read_table(self.spark, self._folder, name)
+        frame = read_table(self.spark, self.folder, name)
         setattr(self, name, frame)  # the schema of a table is looked up once per query
         return frame
 

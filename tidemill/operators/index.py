@@ -14,12 +14,16 @@ from tidemill.runtime import attach, spread_input
 BLOCK_BITS = 16
 
 
-def term_freq(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``term, doc_id, tf``: the flat postings, which all other forms come from."""
-    tokens = spread_input(docs.select(doc_id, text), doc_id).select(
-        F.col(doc_id).alias("doc_id"), F.explode_outer(tokenize(F.col(text))).alias("term")
+def term_freq(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unit: tuple[str, ...] = ()) -> DataFrame:
+    """``term, doc_id, tf``: the flat postings, which all other forms come from.
+
+    ``unit`` names further columns that make up what is indexed, as ``("line_no",)`` for lines.
+    """
+    ids = [F.col(doc_id).alias("doc_id"), *unit]
+    tokens = spread_input(docs.select(doc_id, *unit, text), doc_id).select(
+        *ids, F.explode_outer(tokenize(F.col(text))).alias("term")
     )
-    return unnested(tokens, "term").groupBy("term", "doc_id").agg(F.count(F.lit(1)).alias("tf"))
+    return unnested(tokens, "term").groupBy("term", "doc_id", *unit).agg(F.count(F.lit(1)).alias("tf"))
 
 
 def doc_freq(postings: DataFrame) -> DataFrame:
@@ -30,15 +34,15 @@ def doc_freq(postings: DataFrame) -> DataFrame:
 def posting_lists(postings: DataFrame, block_bits: int = BLOCK_BITS, hot_rows: int | None = None) -> DataFrame:
     """``term, block, df, postings``: (doc_id, tf) sorted by document.
 
-    A term in at most 2 ** block_bits documents has the single block 0. The list of a more
-    frequent term is cut by ranges of document numbers; blocks in order give the whole list.
+    The block of a document is ``doc_id >> block_bits`` for every term; blocks in order give
+    the whole list. ``postings`` is read twice and should be stored.
     """
-    joined = attach(postings, doc_freq(postings), ["term"], ["doc_id"], "df", hot_rows=hot_rows)
-    block = F.when(F.col("df") <= 2**block_bits, F.lit(0).cast("bigint")).otherwise(F.shiftright("doc_id", block_bits))
-    return (
-        joined.groupBy("term", block.alias("block"))
-        .agg(F.max("df").alias("df"), F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings"))
+    lists = postings.groupBy("term", F.shiftright("doc_id", block_bits).alias("block")).agg(
+        F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")
     )
+    sized = lists.groupBy("term").agg(F.sum(F.size("postings")).alias("df"), F.count(F.lit(1)).alias("fan"))
+    joined = attach(lists, sized, ["term"], ["block"], "fan", hot_rows=hot_rows)
+    return joined.select("term", "block", "df", "postings")
 
 
 def flat_postings(lists: DataFrame) -> DataFrame:

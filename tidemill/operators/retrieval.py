@@ -40,20 +40,23 @@ def matches(query: str, has: dict[str, Column]) -> Column:
     return _fold(query, has.__getitem__, lambda a, b: a & b, lambda a, b: a | b)
 
 
-def _flags(postings: DataFrame, words: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
+def _flags(postings: DataFrame, words: Sequence[str], ids: Sequence[str]) -> tuple[DataFrame, dict[str, Column]]:
     """One row per document with a flag per word; flags are combined before the shuffle."""
     names = {w: f"_has{i}" for i, w in enumerate(words)}
     flags = [F.bool_or(F.col("term") == w).alias(n) for w, n in names.items()]
-    found = postings.filter(F.col("term").isin(*words)).groupBy("doc_id").agg(*flags)
+    found = postings.filter(F.col("term").isin(*words)).groupBy(*ids).agg(*flags)
     return found, {w: F.col(n) for w, n in names.items()}
 
 
-def search(postings: DataFrame, query: str) -> DataFrame:
-    """``doc_id`` of the documents a query matches, by one pass over the postings of its words."""
+def search(postings: DataFrame, query: str, ids: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``ids`` of the documents a query matches, by one pass over the postings of its words.
+
+    The documents of an index of lines have the ids ``("doc_id", "line_no")``.
+    """
     words = query_terms(query)
     matches(query, {w: F.lit(True) for w in words})  # a malformed query fails before any scan
-    found, has = _flags(postings, words)
-    return found.filter(matches(query, has)).select("doc_id")
+    found, has = _flags(postings, words, ids)
+    return found.filter(matches(query, has)).select(*ids)
 
 
 def search_sets(postings: DataFrame, query: str) -> DataFrame:
@@ -62,25 +65,45 @@ def search_sets(postings: DataFrame, query: str) -> DataFrame:
 
 
 def search_many(postings: DataFrame, queries: Sequence[tuple[int, str]]) -> DataFrame:
-    """``qid, doc_id`` of many queries, by one pass over the postings of all their words."""
-    words = list(dict.fromkeys(w for _, q in queries for w in query_terms(q)))
-    for _, q in queries:
-        matches(q, {w: F.lit(True) for w in words})
-    found, has = _flags(postings, words)
-    hits = F.array_compact(F.array(*[F.when(matches(q, has), F.lit(qid)) for qid, q in queries]))
-    return found.select(F.explode(hits).alias("qid"), "doc_id")
+    """``qid, doc_id`` of many queries, by one join of the postings with the words asked for.
+
+    The plan is the same for one query and for thousands: queries are rows, not columns.
+    """
+    rows = []
+    for qid, query in queries:
+        words = query_terms(query)
+        matches(query, {w: F.lit(True) for w in words})
+        rows.append((qid, query.split(), words))
+    asked = postings.sparkSession.createDataFrame(rows, "qid int, pieces array<string>, words array<string>")
+    terms = asked.select("qid", F.explode("words").alias("term"))
+    have = postings.join(terms, "term").groupBy("qid", "doc_id").agg(F.collect_set("term").alias("have"))
+    return have.join(asked, "qid").filter(holds(F.col("pieces"), F.col("have"))).select("qid", "doc_id")
+
+
+def holds(pieces: Column, have: Column) -> Column:
+    """Value of a postfix query for a set of words: a stack of truth values, folded over the pieces."""
+
+    def step(stack: Column, piece: Column) -> Column:
+        left, right = F.element_at(stack, -2), F.element_at(stack, -1)
+        rest = F.slice(stack, 1, F.size(stack) - 2)
+        return (
+            F.when(piece == "AND", F.concat(rest, F.array(left & right)))
+            .when(piece == "OR", F.concat(rest, F.array(left | right)))
+            .otherwise(F.concat(stack, F.array(F.array_contains(have, piece))))
+        )
+
+    return F.aggregate(pieces, F.array().cast("array<boolean>"), step)[0]
 
 
 def stored_postings(spark: SparkSession, path: str, words: Sequence[str], buckets: int = INDEX_BUCKETS) -> DataFrame:
     """Postings of the given words from a stored index; other buckets are not listed."""
     wanted = reduce(lambda a, b: a | b, [(F.col("bucket") == bucket_of(F.lit(w), buckets)) & (F.col("term") == w) for w in words])
-    return spark.read.parquet(path).filter(wanted).select("term", "doc_id", "tf")
+    return spark.read.parquet(path).filter(wanted).drop("bucket")
 
 
-def hydrate(found: DataFrame, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def hydrate(found: DataFrame, docs: DataFrame, ids: Sequence[str] = ("doc_id",), text: str = "text") -> DataFrame:
     """The found rows with the text of their document, shortened for display."""
-    lines = docs.select(F.col(doc_id).alias("doc_id"), snippet(F.col(text)).alias("snippet"))
-    return found.join(lines, "doc_id")
+    return found.join(docs.select(*ids, snippet(F.col(text)).alias("snippet")), list(ids))
 
 
 def show_results(found: DataFrame, docs: DataFrame) -> DataFrame:

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 INDEX_BUCKETS = 64
 
 
-def write_text(df: DataFrame, path: str, sep: str = "\t") -> None:
-    """One line per row, columns joined by ``sep``."""
-    df.select(F.concat_ws(sep, *[F.col(c).cast("string") for c in df.columns]).alias("value")).write.mode(
-        "overwrite"
-    ).text(path)
+def write_text(df: DataFrame, path: str, sep: str = "\t", null: str = "") -> None:
+    """One line per row, columns joined by ``sep``; a null is written as ``null``.
+
+    Every row has as many fields as ``df`` has columns. Separators and line ends inside values
+    are written as they are; choose a ``sep`` that no value has.
+    """
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit(null)) for c in df.columns]
+    df.select(F.concat_ws(sep, *fields).alias("value")).write.mode("overwrite").text(path)
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:

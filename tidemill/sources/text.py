@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import LINE_BREAK
-from tidemill.runtime import spread_input
+from tidemill.runtime import cut_lineage, spread_input
 
 
 def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -17,10 +17,23 @@ def lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFr
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """One row per line of the files under ``path``; every line is its own document."""
-    return spark.read.text(path).select(
-        F.monotonically_increasing_id().alias("doc_id"), F.lit(0).alias("line_no"), F.col("value").alias("line")
-    )
+    """``doc_id, path, line_no, line``: one row per line of the files under ``path``.
+
+    ``line_no`` counts the lines of a file from 0, and ``doc_id`` is a hash of path and number, so
+    neither depends on how the files are split. The lines are kept once: a split knows the place
+    of its lines only relative to its own first one, and the counts of the splits before it make
+    that absolute.
+    """
+    place = ["path", "split"]
+    read = cut_lineage(spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("split"),
+        F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"),
+    ))
+    splits = read.groupBy(*place).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("path").orderBy("split").rowsBetween(Window.unboundedPreceding, -1))
+    begins = splits.select(*place, (F.coalesce(before, F.lit(0)) - F.col("first")).alias("shift"))
+    numbered = read.join(begins, place).withColumn("line_no", F.col("at") + F.col("shift"))
+    return numbered.select(F.xxhash64("path", "line_no").alias("doc_id"), "path", "line_no", "line")
 
 
 def parse_adjacency(raw: DataFrame, value: str = "value") -> DataFrame:
