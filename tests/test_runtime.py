@@ -28,13 +28,8 @@ def test_hot_rows_leave_their_partition(spark):
     assert sum(sizes) == 20_000 and len(sizes) == 4 and max(sizes) < 6_000
 
 
-def test_broadcast_only_below_the_bound(spark):
-    big = spark.range(1000)
-
-    def plan(rows):
-        return big.join(runtime.broadcast_if_small(spark.range(20), rows), "id")._jdf.queryExecution().toString()
-
-    assert "strategy=broadcast" in plan(20) and "strategy=broadcast" not in plan(19)
+def test_small_means_a_number_of_rows(spark):
+    assert runtime.is_small(spark.range(20), 20) and not runtime.is_small(spark.range(20), 19)
 
 
 def test_spread_input_only_for_small_scans(spark, monkeypatch):

@@ -82,9 +82,7 @@ def register(catalog: Catalog) -> None:
         """SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
         l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d') AS l_shipdate FROM lineitem""")
     add("date_granularity",
-        lambda t: R.count_rows(R.where(t.lineitem, in_period(t.lineitem, "l_shipdate", "1996"))).select(F.lit("1996").alias("date"), "n")
-        .unionByName(R.count_rows(_in_month(t)).select(F.lit(MONTH).alias("date"), "n"))
-        .unionByName(R.count_rows(R.where(t.lineitem, in_period(t.lineitem, "l_shipdate", "1996-01-01"))).select(F.lit("1996-01-01").alias("date"), "n")),
+        lambda t: R.count_in_periods(t.lineitem, "l_shipdate", ["1996", MONTH, "1996-01-01"]),
         """SELECT d AS date, count(*) FILTER (WHERE strftime(l_shipdate, '%Y-%m-%d').starts_with(d)) AS n
         FROM lineitem, (VALUES ('1996'), ('1996-01'), ('1996-01-01')) v(d) GROUP BY d""")
     add("date_prefix",

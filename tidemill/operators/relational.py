@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.runtime import broadcast_if_small
+from tidemill.functions.dates import in_period
 
 
 def where(df: DataFrame, condition: Column) -> DataFrame:
@@ -27,19 +27,19 @@ def keep_matching(left: DataFrame, right: DataFrame, left_key: str, right_key: s
 
 
 def lookup(df: DataFrame, dim: DataFrame, key: str, dim_key: str) -> DataFrame:
-    """Inner join with a dimension, broadcast where its counted size allows."""
-    return df.join(broadcast_if_small(dim), F.col(key) == F.col(dim_key))
+    """Inner join with a dimension; Spark broadcasts it below its byte threshold."""
+    return df.join(dim, F.col(key) == F.col(dim_key))
 
 
 def lookup_or(df: DataFrame, dim: DataFrame, key: str, dim_key: str, name: str, missing: str = "?") -> DataFrame:
     """Left join with a dimension; ``missing`` stands in for an absent name."""
-    joined = df.join(broadcast_if_small(dim.select(dim_key, name)), F.col(key) == F.col(dim_key), "left")
+    joined = df.join(dim.select(dim_key, name), F.col(key) == F.col(dim_key), "left")
     return joined.withColumn(name, F.coalesce(name, F.lit(missing)))
 
 
 def keep_members(df: DataFrame, members: DataFrame, key: str, member_key: str) -> DataFrame:
-    """Rows whose key is one of ``members``, a side broadcast where its counted size allows."""
-    return df.join(broadcast_if_small(members.select(member_key)), F.col(key) == F.col(member_key), "left_semi")
+    """Rows whose key is one of ``members``; Spark broadcasts them below its byte threshold."""
+    return df.join(members.select(member_key), F.col(key) == F.col(member_key), "left_semi")
 
 
 def group_sum(df: DataFrame, keys: list[str], **measures: Column) -> DataFrame:
@@ -55,6 +55,13 @@ def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n"))
 
 
+def count_in_periods(df: DataFrame, column: str, dates: list[str]) -> DataFrame:
+    """``date, n``: rows at each date at its own granularity, in one scan."""
+    counts = df.agg(*[F.count_if(in_period(df, column, date)).alias(date) for date in dates])
+    pairs = F.array(*[F.struct(F.lit(date).alias("date"), F.col(f"`{date}`").alias("n")) for date in dates])
+    return counts.select(F.inline(pairs))
+
+
 def ordered(df: DataFrame, *order: Column | str) -> DataFrame:
     return df.orderBy(*order)
 

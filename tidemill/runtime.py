@@ -17,7 +17,7 @@ CHECKPOINT_SETTING = "spark.checkpoint.dir"
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 1_000
 HOT_SALTS = 4_096
-# Up to this many rows a kept dimension is broadcast whole.
+# Up to this many rows of a few numbers each are broadcast whole.
 SMALL_ROWS = 100_000
 
 
@@ -92,7 +92,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def _setting_bytes(spark: SparkSession, name: str) -> int:
     text = spark.conf.get(name).strip().lower().removesuffix("b")
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
+    units = {"k": 10, "m": 20, "g": 30, "t": 40, "p": 50}
     return int(text[:-1]) << units[text[-1]] if text[-1] in units else int(text)
 
 
@@ -116,16 +116,11 @@ def shuffle_partitions(df: DataFrame) -> int:
 
 
 def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; counts no more than one beyond."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
+    """Whether ``df`` has at most ``max_rows`` rows; counts no more than one beyond.
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Hint a broadcast when a counted bound holds; beyond it the planner chooses the join.
-
-    Meant for dimensions of few narrow columns that are stored or kept.
+    For rows of a fixed width this bounds the bytes of a broadcast.
     """
-    return F.broadcast(df) if is_small(df, max_rows) else df
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def attach(
