@@ -18,32 +18,45 @@ from tidemill.sources.tpch import read_table
 ORACLE_SQL = None
 
 
-def _counted(texts: DataFrame, like: DataFrame) -> DataFrame:
-    """The columns of ``like``, with ``n_chars`` counted anew."""
-    found = texts.withColumn("n_chars", F.char_length("text").cast("bigint")) if "n_chars" in like.columns else texts
-    return found.select(*like.columns)
+def _beside(docs: DataFrame, operator, condition=None) -> DataFrame:
+    """The columns of ``docs`` after an operator that adds columns of its own.
+
+    Only the columns of documents go through the operator under their own names, so an extra
+    column that happens to have the name of a result keeps its values.
+    """
+    known = ("doc_id", "text", "lang", "source", "n_chars")
+    names = [c if c.lower() in known else f"__extra_{i}" for i, c in enumerate(docs.columns)]
+    made = operator(docs.toDF(*names))
+    made = made if condition is None else made.filter(condition)
+    return made.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns)])
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_chars`` counted anew."""
+    return docs.withColumn("n_chars", F.char_length("text").cast("bigint")) if "n_chars" in docs.columns else docs
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is clear."""
-    named = identify(docs, learn(docs))
-    return named.filter(~F.col("rejected")).select(*docs.columns)
+    model = learn(docs)
+    return _beside(docs, lambda rows: identify(rows, model), ~F.col("rejected"))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, each without the lines that an earlier document has."""
-    return _counted(drop_repeated_lines(docs), docs)
+    return _counted(_beside(docs, drop_repeated_lines))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"))
-    return docs.join(gone, F.col("doc_id") == F.col("gone_id"), "left_anti")
+    gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without passages of the benchmark; those that are mostly benchmark go."""
-    return _counted(remove_contamination(docs, read_table(spark, sf_dir, "benchmark")), docs)
+    items = read_table(spark, sf_dir, "benchmark")
+    return _counted(_beside(docs, lambda rows: remove_contamination(rows, items)))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
