@@ -15,8 +15,12 @@ less. All links are confirmed on the full shingle sets:
 2. In every bucket each class is compared with the smallest class of the bucket. The links
    found so far give preliminary groups. This costs one comparison per bucket row, however
    large a bucket is.
-3. Where a bucket still holds several groups, all its pairs from different groups are compared.
-   Pairs inside a group cannot change the result. So no link between groups is lost.
+3. Where a bucket still holds several groups, its pairs from different groups are compared.
+   Pairs inside a group cannot change the result. A bitmap decides most pairs inside the join:
+   every shingle flips one of MAP_BITS bits, so two maps differ in at most as many bits as the
+   sets differ in shingles, and a pair whose maps differ in too many cannot reach the
+   similarity (Sandes et al., "Bitmap filter", Information Systems 2020). The bound is exact;
+   what passes is verified on the full sets. So no link between groups is lost.
 """
 
 from __future__ import annotations
@@ -34,6 +38,7 @@ SHINGLE = 5
 PERCENT = 75
 ROWS, BANDS = 4, 36
 BINS = ROWS * BANDS
+MAP_BITS = 2048
 # Entries of a task's memo of word hashes; it is emptied when full.
 MEMO = 400_000
 
@@ -100,28 +105,38 @@ def band_keys(x: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def parity_map(x: np.ndarray) -> np.ndarray:
+    """MAP_BITS bits as 64-bit words; a bit is set where an odd number of shingles falls on it."""
+    odd = np.bincount((x % _U(MAP_BITS)).astype(np.int64), minlength=MAP_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 _SKETCH = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64()))])
-_SETS = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(pa.int64()))])
+_SETS = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
 
-def _sketches(batches):
-    memo = _Memo()
-    for batch in batches:
-        ns, digests, bands = [], [], []
-        for text in utf8(batch.column(1)):
-            x = shingle_set(text, memo)
-            ns.append(len(x))
-            digests.append(xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None)
-            bands.append(band_keys(x) if len(x) else None)
-        made = [batch.column(0), *(pa.array(v, f.type) for v, f in zip((ns, digests, bands), list(_SKETCH)[1:]))]
-        yield pa.RecordBatch.from_arrays(made, schema=_SKETCH)
+def _sketches(keys_of):
+    def run(batches):
+        memo = _Memo()
+        for batch in batches:
+            ns, digests, bands = [], [], []
+            for text in utf8(batch.column(1)):
+                x = shingle_set(text, memo)
+                ns.append(len(x))
+                digests.append(xxhash.xxh3_128_digest(x.tobytes()) if len(x) else None)
+                bands.append(keys_of(x) if len(x) else None)
+            made = [batch.column(0), *(pa.array(v, f.type) for v, f in zip((ns, digests, bands), list(_SKETCH)[1:]))]
+            yield pa.RecordBatch.from_arrays(made, schema=_SKETCH)
+
+    return run
 
 
 def _sets(batches):
     memo = _Memo()
     for batch in batches:
-        found = [shingle_set(text, memo).view(np.int64) for text in utf8(batch.column(1))]
-        made = [batch.column(0), *(pa.array(v, f.type) for v, f in zip(([len(x) for x in found], found), list(_SETS)[1:]))]
+        found = [shingle_set(text, memo) for text in utf8(batch.column(1))]
+        columns = ([len(x) for x in found], [x.view(np.int64) for x in found], [parity_map(x) for x in found])
+        made = [batch.column(0), *(pa.array(v, f.type) for v, f in zip(columns, list(_SETS)[1:]))]
         yield pa.RecordBatch.from_arrays(made, schema=_SETS)
 
 
@@ -144,7 +159,7 @@ def _groups(links: DataFrame) -> DataFrame:
     return weak_components(nodes, edges)
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, keys_of=band_keys) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: one row per row of ``docs``.
 
     Words are runs of anything but ASCII white space, A-Z lower-cased; a document's set has its
@@ -153,11 +168,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     more are linked; ``component_id`` is the smallest ``doc_id`` that links lead to, the
     document's own included, and that document is kept. Rows of one ``doc_id`` count as one
     document. A row with a null ``doc_id`` is linked with nothing, has a null component and is
-    kept. Columns other than ``doc_id`` and ``text`` are not read.
+    kept. Columns other than ``doc_id`` and ``text`` are not read. ``keys_of`` gives the bucket
+    keys of a set; documents without a common key are never compared.
     """
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), ascii_lower(F.col("text").cast("string")).alias("text"))
     # Spark schemas follow the Arrow ones above.
-    marks = stored(rows.mapInArrow(_sketches, "doc_id bigint, n int, digest binary, bands array<bigint>"), "sketches")
+    marks = stored(rows.mapInArrow(_sketches(keys_of), "doc_id bigint, n int, digest binary, bands array<bigint>"), "sketches")
     linkable = marks.filter((F.col("n") > 0) & F.col("doc_id").isNotNull())
     classes = linkable.groupBy("digest").agg(F.min("doc_id").alias("id"))
     heads = linkable.withColumnRenamed("doc_id", "id").join(classes, ["digest", "id"])
@@ -168,16 +184,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
     chosen = rows.join(wanted, "doc_id", "left_semi")
-    sets = stored(chosen.mapInArrow(_sets, "id bigint, n int, shingles array<bigint>"), "shingle-sets")
+    sets = stored(chosen.mapInArrow(_sets, "id bigint, n int, shingles array<bigint>, bits array<bigint>"), "shingle-sets")
 
     stars = members.filter(F.col("id") != F.col("a")).select("a", F.col("id").alias("b")).distinct()
     links = stored(_confirmed(stars, sets), "star-links")
     named = members.select("band", "id", "n").join(_groups(links), "id", "left").withColumn("group", F.coalesce("component", "id"))
     named = stored(named.select("band", "id", "n", "group"), "band-groups")
-    rest = stored(_between_groups(named).join(stars, ["a", "b"], "left_anti"), "cross-pairs")
+    rest = stored(_between_groups(named, sets.select("id", "bits")).join(stars, ["a", "b"], "left_anti"), "cross-pairs")
     if not rest.isEmpty():
         links = stored(links.union(_confirmed(rest, sets)), "all-links")
     labels = classes.join(_groups(links), "id", "left").select("digest", F.coalesce("component", "id").alias("component"))
+    # Stored, so that both sides of the last join come straight from a shuffle and a hot digest can be split.
+    labels = stored(labels, "labels")
     return marks.join(labels, "digest", "left").select(
         "doc_id",
         F.col("n").cast("bigint").alias("n_shingles"),
@@ -185,23 +203,27 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def _between_groups(named: DataFrame) -> DataFrame:
-    """Pairs ``a < b`` of one bucket and different groups, for buckets of several groups.
+def _between_groups(named: DataFrame, maps: DataFrame) -> DataFrame:
+    """Pairs ``a < b`` of one bucket and different groups that may be similar enough.
 
     Each bucket's largest group stays on one side only, so a bucket of one large group and a
-    few others gives pairs in proportion to its size.
+    few others is compared in proportion to its size.
     """
     counted = named.groupBy("band", "group").agg(F.count(F.lit(1)).alias("size"))
     per_band = counted.groupBy("band").agg(
         F.max_by("group", F.struct("size", "group")).alias("main"), F.count(F.lit(1)).alias("groups")
     )
-    mixed = named.join(per_band.filter(F.col("groups") > 1).select("band", "main"), "band")
+    mixed = named.join(per_band.filter(F.col("groups") > 1).select("band", "main"), "band").join(maps, "id")
+    mixed = stored(mixed, "mixed-buckets")
     other = mixed.filter(F.col("group") != F.col("main")).select(
-        "band", F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("group").alias("group_x")
+        "band", F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("group").alias("group_x"), F.col("bits").alias("bits_x")
     )
+    words = [F.bit_count(F.col("bits")[k].bitwiseXOR(F.col("bits_x")[k])) for k in range(MAP_BITS // 64)]
+    apart = sum(words[1:], words[0])
     meets = other.join(mixed, "band").filter(
         (F.col("group_x") != F.col("group"))
         & ((F.col("group") == F.col("main")) | (F.col("x") < F.col("id")))
         & (F.least("n", "n_x") * 100 >= F.greatest("n", "n_x") * PERCENT)
+        & ((F.col("n") + F.col("n_x")) * (100 - PERCENT) >= apart * (100 + PERCENT))
     )
     return meets.select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct()
