@@ -20,13 +20,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import stored, utf8
+from tidemill.llm.shared import small, stored, utf8
 from tidemill.runtime import shuffle_partitions
 
 SALTS = 64
 # Content held by one task while it deduplicates locally; a fuller table is emptied and begun
 # anew, which only leaves more rows to the later steps.
-LOCAL_BYTES = 48 << 20
+LOCAL_BYTES = 16 << 20
 
 _LOCAL = pa.schema(
     [("doc_id", pa.int64()), ("uid", pa.int64()), ("winner", pa.int64()), ("top", pa.int64()),
@@ -64,7 +64,7 @@ def _local(local_bytes: int):
             columns = list(zip(*rows)) or [()] * len(_LOCAL)
             return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _LOCAL)], schema=_LOCAL)
 
-        for batch in batches:
+        for batch in small(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
                 key = (hashlib.sha256(text).digest(), press.compress(text))
                 members = groups.get(key)
@@ -87,7 +87,7 @@ def _local(local_bytes: int):
 def _merged(batches):
     """Winner of every run of equal content; rows come sorted with the best of a run first."""
     content, winner = None, None
-    for batch in batches:
+    for batch in small(batches):
         uids, tops, digests, bodies = (batch.column(i).to_pylist() for i in range(4))
         out_winner, out_top, out_digest, out_body = [], [], [], []
         for uid, top, digest, body in zip(uids, tops, digests, bodies):
@@ -133,7 +133,8 @@ def exact_duplicates(docs: DataFrame, salts: int = SALTS, local_bytes: int = LOC
     members = local.groupBy(F.col("winner").alias("local_winner")).agg(F.count(F.lit(1)).alias("n"))
     counted = middle.join(members, "local_winner")
     sizes = counted.groupBy("keeper").agg(F.sum("n").alias("group_size"))
-    whole = counted.join(sizes, "keeper").select("local_winner", "keeper", "keep_id", "text_sha256", "group_size")
+    # Stored, so that both sides of the last join come straight from a shuffle and a hot text can be split.
+    whole = stored(counted.join(sizes, "keeper").select("local_winner", "keeper", "keep_id", "text_sha256", "group_size"), "copies-groups")
     return local.select("doc_id", "uid", F.col("winner").alias("local_winner")).join(whole, "local_winner").select(
         "doc_id", "keep_id", "group_size", (F.col("uid") == F.col("keeper")).alias("kept"), "text_sha256"
     )

@@ -16,6 +16,13 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [value or b"" for value in column.cast(pa.binary()).to_pylist()]
 
 
+def small(batches, rows: int = 1024):
+    """The batches in slices, so that a task turns few rows into Python objects at a time."""
+    for batch in batches:
+        for begin in range(0, batch.num_rows, rows):
+            yield batch.slice(begin, rows)
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z lower-cased, every other character as it is."""
     return F.translate(text, UPPER, LOWER)
@@ -36,27 +43,3 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def with_python(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` for a function from one record batch to a dict of lists."""
-    wanted = df.sparkSession.createDataFrame([], schema).schema
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    arrow = to_arrow_schema(wanted)
-
-    def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                made = function(batch)
-                yield pa.RecordBatch.from_arrays(
-                    [_array(made[field.name], field.type) for field in arrow], schema=arrow
-                )
-
-    return df.mapInArrow(run, wanted)
-
-
-def _array(values, kind: pa.DataType) -> pa.Array:
-    if isinstance(values, pa.ChunkedArray):
-        values = values.combine_chunks()
-    return values.cast(kind) if isinstance(values, pa.Array) else pa.array(values, kind)
