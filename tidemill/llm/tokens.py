@@ -27,15 +27,15 @@ from pyspark.sql import functions as F
 
 from tidemill.llm import mph
 from tidemill.llm.files import Reader, new_name, opened
-from tidemill.llm.shared import stored, utf8
+from tidemill.llm.shared import small, stored, utf8
 from tidemill.runtime import scratch_path
 
 MAGIC = b"TIDSHRD1"
 HEADER = 16
 END_ID = 1
 KEYS_PER_FILE = 16_384
-# Words kept with their ids; emptied when full.
-MEMO = 300_000
+# Words a Python worker keeps with their ids, about 200 bytes each; emptied when full.
+MEMO = 1_000_000
 
 _RECORD = pa.schema([("doc_id", pa.int64()), ("shard", pa.int64()), ("file", pa.string()), ("begin", pa.int64()), ("n_tokens", pa.int64())])
 
@@ -43,6 +43,16 @@ _RECORD = pa.schema([("doc_id", pa.int64()), ("shard", pa.int64()), ("file", pa.
 class Encoder:
     """Texts to raw ids."""
 
+    _known: dict[tuple, Encoder] = {}
+
+    @classmethod
+    def shared(cls, vocabulary: str, by_words: bool) -> Encoder:
+        """One encoder per Python worker, whose words serve all tasks that the worker runs."""
+        key = (hash(vocabulary), by_words)
+        if key not in cls._known:
+            cls._known[key] = cls(vocabulary, by_words)
+        return cls._known[key]
+
     def __init__(self, vocabulary: str, by_words: bool = True, end_id: int = END_ID):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -79,11 +89,9 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, by_words: bool =
     def run(batches):
         number = TaskContext.get().partitionId()
         encoder, file, name, begin = None, None, new_name("shard", number, "ids"), 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in small(batches):
             if file is None:
-                encoder = Encoder(shared.value, by_words)
+                encoder = Encoder.shared(shared.value, by_words)
                 store, path = opened(folder)
                 store.create_dir(path)
                 file = store.open_output_stream(f"{path}/{name}", compression=None)
@@ -201,7 +209,8 @@ class TokenStore:
             reader.close()
 
         rows = located.join(self.shards, "shard").select("doc_id", "copy", "file", "base", "begin", "n_tokens")
-        ordered = rows.repartition("file").sortWithinPartitions("file", "begin")
+        # A task per shard: the rows are few bytes, the work is in what they point to.
+        ordered = rows.repartition(max(1, self.shards.count()), "file").sortWithinPartitions("file", "begin")
         return ordered.mapInArrow(run, f"doc_id bigint, copy bigint, start bigint, n_tokens bigint, {name} {kind}")
 
 
