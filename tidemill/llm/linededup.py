@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import others, stored, utf8
+from tidemill.llm.shared import others, small, stored, utf8
 from tidemill.runtime import shuffle_partitions
 
 MIN_LENGTH = 10
@@ -32,6 +32,7 @@ SEGMENT_BITS = 1 << 20
 # At most 256 segments, 32 MB in all: the size bound of what is broadcast.
 MAX_SEGMENTS = 256
 BITS_PER_LINE = 12
+# Bits per key; fewer where the filter has less room per line, as the usual optimum ln 2 * bits / keys.
 HASHES = 4
 _BLANK = b" \t\n\x0b\x0c\r"
 _MASK = (1 << 64) - 1
@@ -50,11 +51,11 @@ def document_keys(text: bytes, least: int = MIN_LENGTH) -> set[bytes]:
     return {key for key in map(line_key, text.split(b"\n")) if _long_enough(key, least)}
 
 
-def _bits(keys, segments: int, segment_bits: int = SEGMENT_BITS) -> tuple[np.ndarray, np.ndarray]:
-    """Segment of every key, and its HASHES bit positions within the segment."""
+def _bits(keys, segments: int, segment_bits: int = SEGMENT_BITS, hashes: int = HASHES) -> tuple[np.ndarray, np.ndarray]:
+    """Segment of every key, and its bit positions within the segment."""
     low = np.fromiter((xxhash.xxh3_64_intdigest(k) for k in keys), np.uint64)
     high = (low >> np.uint64(32)) | np.uint64(1)
-    steps = np.arange(HASHES, dtype=np.uint64)[:, None]
+    steps = np.arange(hashes, dtype=np.uint64)[:, None]
     mixed = (low * np.uint64(0x9E3779B97F4A7C15)) ^ (low >> np.uint64(29))
     segment = ((mixed >> np.uint64(20)) % np.uint64(segments)).astype(np.int64)
     return segment, ((low + steps * high) % np.uint64(segment_bits)).astype(np.int64)
@@ -110,18 +111,19 @@ def _emit(filters: _Filters):
         yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _PARTIAL)], schema=_PARTIAL)
 
 
-def twice_filter(docs: DataFrame, least: int = MIN_LENGTH, segment_bits: int = SEGMENT_BITS, max_segments: int = MAX_SEGMENTS) -> list[bytes]:
-    """Packed bits of the filter of keys that may be in two documents, by segment."""
+def twice_filter(docs: DataFrame, least: int = MIN_LENGTH, segment_bits: int = SEGMENT_BITS, max_segments: int = MAX_SEGMENTS) -> tuple[list[bytes], int]:
+    """Packed bits of the filter of keys that may be in two documents, by segment; bits per key."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = docs.agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1)).first()[0] or 0
     segments = int(min(max_segments, max(1, -(-lines * BITS_PER_LINE // segment_bits))))
+    hashes = int(min(HASHES, max(1, round(0.69 * segments * segment_bits / max(1, lines)))))
 
     def partial(batches):
         filters = _Filters(segment_bits)
-        for batch in batches:
+        for batch in small(batches):
             keys = [key for text in utf8(batch.column(0)) for key in document_keys(text, least)]
             if keys:
-                filters.add(*_bits(keys, segments, segment_bits))
+                filters.add(*_bits(keys, segments, segment_bits, hashes))
         yield from _emit(filters)
 
     def merged(batches):
@@ -136,19 +138,19 @@ def twice_filter(docs: DataFrame, least: int = MIN_LENGTH, segment_bits: int = S
     whole = parts.repartition(min(segments, shuffle_partitions(docs)), "segment").mapInArrow(merged, schema)
     expand = zstandard.ZstdDecompressor()
     found = {row["segment"]: expand.decompress(row["twice"]) for row in whole.select("segment", "twice").toLocalIterator()}
-    return [found.get(s, bytes(segment_bits // 8)) for s in range(segments)]
+    return [found.get(s, bytes(segment_bits // 8)) for s in range(segments)], hashes
 
 
-def suspects(docs: DataFrame, twice: list[bytes], least: int = MIN_LENGTH) -> DataFrame:
+def suspects(docs: DataFrame, twice: tuple[list[bytes], int], least: int = MIN_LENGTH) -> DataFrame:
     """``doc_id, digest``: one row per document and key that the filter does not rule out."""
     shared = docs.sparkSession.sparkContext.broadcast(twice)
     schema = pa.schema([("doc_id", pa.int64()), ("digest", pa.binary())])
 
     def run(batches):
-        packed = shared.value
+        packed, hashes = shared.value
         segment_bits = 8 * len(packed[0])
         table = np.frombuffer(b"".join(packed), np.uint8)
-        for batch in batches:
+        for batch in small(batches):
             ids, keys = [], []
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
                 own = document_keys(text, least)
@@ -156,7 +158,7 @@ def suspects(docs: DataFrame, twice: list[bytes], least: int = MIN_LENGTH) -> Da
                 ids.extend([doc_id] * len(own))
             if not keys:
                 continue
-            segment, bits = _bits(keys, len(packed), segment_bits)
+            segment, bits = _bits(keys, len(packed), segment_bits, hashes)
             place = segment * segment_bits + bits
             hit = ((table[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1).all(axis=0)
             rows = np.flatnonzero(hit)
@@ -183,10 +185,12 @@ def drop_repeated_lines(docs: DataFrame, least: int = MIN_LENGTH, **filter_size:
     known = kept.filter(F.col("doc_id").isNotNull()).select("doc_id", "text")
     pairs = stored(suspects(known, twice_filter(known, least, **filter_size), least), "line-suspects")
     holders = pairs.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-    repeated = holders.filter(F.col("first") < F.col("last")).select("digest", "first")
-    losing = pairs.join(repeated, "digest").filter(F.col("doc_id") != F.col("first")).distinct()
-    lists = losing.groupBy(F.col("doc_id").alias("losing_id")).agg(F.collect_list("digest").alias("losing_lines"))
-    joined = kept.join(lists, F.col("doc_id") == F.col("losing_id"), "left").drop("losing_id")
+    # Stored, so that both sides of the next join come straight from a shuffle and a hot line can be
+    # split; nothing after the join needs the rows of a digest together.
+    repeated = stored(holders.filter(F.col("first") < F.col("last")).select("digest", "first"), "repeated-lines")
+    losing = pairs.join(repeated, "digest").filter(F.col("doc_id") != F.col("first"))
+    lists = losing.groupBy(F.col("doc_id").alias("__losing_id")).agg(F.collect_set("digest").alias("__losing_lines"))
+    joined = kept.join(lists, F.col("doc_id") == F.col("__losing_id"), "left").drop("__losing_id")
     return _rebuilt(joined, least)
 
 
@@ -194,15 +198,15 @@ def _rebuilt(joined: DataFrame, least: int) -> DataFrame:
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    fields = [f for f in joined.schema.fields if f.name != "losing_lines"]
+    fields = [f for f in joined.schema.fields if f.name != "__losing_lines"]
     schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
     names = [f.name for f in fields]
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        for batch in batches:
+        for batch in small(batches):
             texts, n_lines, n_dropped = [], [], []
-            for text, losing in zip(utf8(batch.column("text")), batch.column("losing_lines").to_pylist()):
+            for text, losing in zip(utf8(batch.column("text")), batch.column("__losing_lines").to_pylist()):
                 if losing is None:
                     texts.append(text)
                     n_lines.append(text.count(b"\n") + 1)
