@@ -28,6 +28,13 @@ def test_held_out_accuracy(labelled):
     assert all(0 <= r.score <= 1 for r in found) and not any(r.rejected for r in found)
 
 
+def test_a_few_words_are_enough(spark, labelled):
+    rng = random.Random(8)
+    rows = [(i, text(lang := rng.choice(list(SYLLABLES)), rng, 4), lang) for i in range(200)]
+    found = langid.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"), langid.learn(labelled, 20, 8192)).collect()
+    assert sum(r.lang == r.lang_pred for r in found) >= 190 and sum(r.rejected for r in found) <= 5
+
+
 def test_learning_never_sees_held_out_rows(labelled):
     only = labelled.filter(langid.held_out(labelled["doc_id"]))
     assert langid.learn(only) == {}

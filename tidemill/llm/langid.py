@@ -15,13 +15,16 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import others
+from tidemill.llm.shared import others, small
 
 # Bounds of the model: labelled texts aimed at per language, and bytes of one dictionary.
 SAMPLE_TEXTS = 200
 DICTIONARY_BYTES = 96 << 10
 LEVEL = 6
 PIECE = 1024
+# Follows every piece: the compressor stores a few bytes as they are unless something in them
+# repeats, and then no dictionary would tell.
+PAD = bytes(64)
 # Below this share of bytes two languages explain a text equally well.
 MARGIN = 0.004
 
@@ -91,7 +94,7 @@ def identify(docs: DataFrame, model: dict[str, bytes], level: int = LEVEL, margi
             )
             for lang in langs
         ]
-        for batch in batches:
+        for batch in small(batches):
             preds, scores = [], []
             for text in batch.column(place).to_pylist():
                 if not langs or text is None or not _LETTER.search(text):
@@ -99,7 +102,7 @@ def identify(docs: DataFrame, model: dict[str, bytes], level: int = LEVEL, margi
                     scores.append(0.0)
                     continue
                 folded = _folded(text)
-                pieces = [folded[i : i + PIECE] for i in range(0, len(folded), PIECE)]
+                pieces = [folded[i : i + PIECE] + PAD for i in range(0, len(folded), PIECE)]
                 sizes = sorted((sum(len(press.compress(p)) for p in pieces), lang) for press, lang in zip(presses, langs))
                 preds.append(sizes[0][1])
                 scores.append(1.0 if len(sizes) == 1 else 1.0 - sizes[0][0] / sizes[1][0])
