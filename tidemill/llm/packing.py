@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.shared import ascii_lower, stored
+from tidemill.runtime import shuffle_partitions
 
 CAPACITY = 8192
 GROUP = 4096
+GROUPS_PER_TASK = 16
 
 _NAMES = ["doc_id", "piece", "start", "length", "bin_id", "bin_offset"]
 
@@ -130,7 +132,9 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> DataF
         columns[4] = [None if number is None else (part << 32) | number for number in columns[4]]
         return pa.table([pa.array(c, pa.int64()) for c in columns], names=_NAMES)
 
-    return dealt.groupBy("part").applyInArrow(run, ", ".join(f"{name} bigint" for name in _NAMES))
+    # Given explicitly, the number of tasks is not lowered for rows of few bytes: the work is in the search.
+    spread = dealt.repartition(min(groups, max(shuffle_partitions(dealt), groups // GROUPS_PER_TASK)), "part")
+    return spread.groupBy("part").applyInArrow(run, ", ".join(f"{name} bigint" for name in _NAMES))
 
 
 def byte_length(text: Column) -> Column:
