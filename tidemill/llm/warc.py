@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.files import Reader, new_name, opened
-from tidemill.llm.shared import stored, utf8
+from tidemill.llm.shared import small, stored, utf8
 from tidemill.runtime import scratch_path
 
 REVISIT_BYTES = 100
@@ -107,15 +107,14 @@ def write_archives(pages: DataFrame, folder: str, least: int = REVISIT_BYTES) ->
     rows = rows.withColumn("digest", F.sha2("html", 256))
     sized = rows.filter(F.octet_length("html") >= least)
     firsts = sized.groupBy("digest").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
-    firsts = firsts.filter((F.col("n") > 1) & F.col("first").isNotNull()).select("digest", "first")
+    # Stored, so that both sides of the next join come straight from a shuffle and a hot payload can be split.
+    firsts = stored(firsts.filter((F.col("n") > 1) & F.col("first").isNotNull()).select("digest", "first"), "first-pages")
     refers = F.when(F.coalesce(F.col("page_id") != F.col("first"), F.col("first").isNotNull()), F.col("first"))
     ready = rows.join(firsts, "digest", "left").select("page_id", "url", "html", "digest", refers.alias("refers_to"))
 
     def run(batches):
         name, file, at = new_name("archive", TaskContext.get().partitionId(), "warc.gz"), None, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in small(batches):
             if file is None:
                 store, path = opened(folder)
                 store.create_dir(path)
@@ -215,8 +214,8 @@ class _IndexFile:
 class Archives:
     """Archives and index of one table of pages."""
 
-    def __init__(self, folder: str, index: DataFrame):
-        self.folder, self.index = folder, index
+    def __init__(self, folder: str, index: DataFrame, archives: int):
+        self.folder, self.index, self.archives = folder, index, archives
 
     def locate(self, wanted: DataFrame) -> DataFrame:
         """The captures of ``url, page_id``; every wanted pair is looked up once."""
@@ -247,7 +246,7 @@ class Archives:
             reader.close()
 
         pairs = wanted.select(F.col("url").cast("string"), F.col("page_id").cast("bigint")).distinct()
-        dealt = pairs.mapInArrow(assign, "key string, page_id bigint, file string").distinct().repartition("file")
+        dealt = pairs.mapInArrow(assign, "key string, page_id bigint, file string").distinct().repartition(max(1, len(names)), "file")
         ordered = dealt.sortWithinPartitions("file", "key", F.col("page_id").asc_nulls_first())
         return ordered.mapInArrow(look, _CAPTURE_SQL)
 
@@ -272,7 +271,8 @@ class Archives:
                 yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(columns, schema)], schema=schema)
             reader.close()
 
-        ordered = captures.repartition("archive").sortWithinPartitions("archive", "begin")
+        # A task per archive: the rows are few bytes, the work is in what they point to.
+        ordered = captures.repartition(max(1, self.archives), "archive").sortWithinPartitions("archive", "begin")
         sql = "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint"
         return ordered.mapInArrow(run, sql + (", payload binary" if payload else ""))
 
@@ -286,4 +286,5 @@ def archive_pages(pages: DataFrame, least: int = REVISIT_BYTES) -> Archives:
     a null id an id without a number. Other columns are not read. An empty table has no archive.
     """
     folder = scratch_path(pages.sparkSession, "archives")
-    return Archives(folder, build_index(write_archives(pages, folder, least), folder))
+    captures = write_archives(pages, folder, least)
+    return Archives(folder, build_index(captures, folder), captures.select("archive").distinct().count())
