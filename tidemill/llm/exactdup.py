@@ -123,7 +123,7 @@ def exact_duplicates(docs: DataFrame, salts: int = SALTS, local_bytes: int = LOC
     going = local.filter(F.col("uid") == F.col("winner"))
     salt = F.pmod(F.xxhash64("uid"), F.lit(salts))
     salted = stored(_combine(going, F.col("digest"), salt), "copies-salted")
-    final = stored(_combine(salted.filter(F.col("uid") == F.col("winner")), F.col("digest")), "copies-final")
+    final = stored(_combine(salted.filter(F.col("uid") == F.col("winner")), F.col("digest")).drop("body"), "copies-final")
     # Winner of each row: local winner, then salt winner, then overall winner.
     named = final.join(
         final.filter(F.col("uid") == F.col("winner")).select(F.col("winner"), F.col("top").alias("keep_id"), F.lower(F.hex("digest")).alias("text_sha256")),
