@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import ascii_lower, stored, utf8
+from tidemill.llm.shared import ascii_lower, small, stored, utf8
 from tidemill.operators.components import weak_components
 
 SHINGLE = 5
@@ -39,6 +39,8 @@ PERCENT = 75
 ROWS, BANDS = 4, 36
 BINS = ROWS * BANDS
 MAP_BITS = 2048
+# A class with this many links is a hub; its links are salted while groups are formed.
+HUB_ROWS = 1000
 # Entries of a task's memo of word hashes; it is emptied when full.
 MEMO = 400_000
 
@@ -118,7 +120,7 @@ _SETS = pa.schema([("id", pa.int64()), ("n", pa.int32()), ("shingles", pa.list_(
 def _sketches(keys_of):
     def run(batches):
         memo = _Memo()
-        for batch in batches:
+        for batch in small(batches):
             ns, digests, bands = [], [], []
             for text in utf8(batch.column(1)):
                 x = shingle_set(text, memo)
@@ -133,7 +135,7 @@ def _sketches(keys_of):
 
 def _sets(batches):
     memo = _Memo()
-    for batch in batches:
+    for batch in small(batches):
         found = [shingle_set(text, memo) for text in utf8(batch.column(1))]
         columns = ([len(x) for x in found], [x.view(np.int64) for x in found], [parity_map(x) for x in found])
         made = [batch.column(0), *(pa.array(v, f.type) for v, f in zip(columns, list(_SETS)[1:]))]
@@ -156,7 +158,7 @@ def _groups(links: DataFrame) -> DataFrame:
     """``id, component`` of the linked classes."""
     edges = links.select(F.col("a").alias("src"), F.col("b").alias("dst"))
     nodes = edges.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
-    return weak_components(nodes, edges)
+    return weak_components(nodes, edges, hot_rows=HUB_ROWS)
 
 
 def near_duplicates(docs: DataFrame, keys_of=band_keys) -> DataFrame:
