@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import others, utf8
+from tidemill.llm.shared import others, small, utf8
 
 WINDOW = 10
 # A text with a larger share of hit words is dropped whole.
@@ -225,7 +225,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
 
     def run(batches):
         automaton = shared.value
-        for batch in batches:
+        for batch in small(batches):
             rows = []
             for text in utf8(batch.column(place)):
                 own = words(text)

@@ -19,7 +19,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import ascii_lower
+from tidemill.llm.shared import ascii_lower, stored
 
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BLOCK, STEP, PIECE = 64, 32, 32
@@ -145,7 +145,8 @@ def find_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
         F.least(*firsts).cast("bigint").alias("first_word"), F.greatest(*lasts).cast("bigint").alias("last_word"),
         F.array_sort(F.array_compact(F.array(*names))).alias("phrases"),
     )
-    merged = base.join(found, "uid", "left")
+    # Stored, so that both sides of the join come straight from a shuffle and a hot text can be split.
+    merged = base.join(stored(found, "license-blocks"), "uid", "left")
     both = F.array_sort(F.array_union("phrases", F.coalesce("more", F.array().cast("array<string>"))))
     return merged.select(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
