@@ -1,4 +1,12 @@
-"""Documents to training sequences: five stages, each one of the operators in ``tidemill.llm``."""
+"""Documents to training sequences: five stages, each one of the operators in ``tidemill.llm``.
+
+Every stage takes any table with the columns of documents, also an empty one, and all but the
+last return the same columns; extra columns keep their values whatever their names. Texts that
+are null or have no letter leave in the first stage. A null lang or source is an ordinary value
+that teaches nothing and conflicts with nothing. Rows with a null ``doc_id`` pass line and
+near-duplicate removal as they are. Rows of one ``doc_id`` are one document there: they lose the
+same lines, and stay or go together.
+"""
 
 from __future__ import annotations
 
