@@ -73,3 +73,24 @@ def test_empty_tables(spark, table):
     (row,) = decontam.find_contamination(table((1, "some text")), none).collect()
     assert (row.n_words, row.n_hit) == (2, 0)
     assert decontam.find_contamination(table((1, "a")).limit(0), none).collect() == []
+
+
+def test_items_without_an_id(spark, table, prose):
+    nameless, other, named = (" ".join(prose(seed, 12)) for seed in (21, 22, 23))
+    bench = spark.createDataFrame([(None, nameless), (None, other), (7, named), (None, "short one")], "item_id bigint, text string")
+    before = " ".join(prose(24, 30))
+    rows = [(1, f"{before} {nameless} {before}"), (2, f"{nameless} {other} {named}"), (3, f"{before} {named}"), (4, before), (5, "a short one, b")]
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in decontam.find_contamination(table(*rows), bench).collect()}
+    none, seven = hashlib.sha256(b"").hexdigest(), hashlib.sha256(b"7").hexdigest()
+    assert got == {1: (12, 1, none, True), 2: (36, 2, seven, True), 3: (12, 1, seven, True), 4: (0, 0, none, False), 5: (2, 1, none, True)}
+    cleaned = {r.doc_id: r.text for r in decontam.remove_contamination(table(*rows), bench).collect()}
+    assert cleaned == {1: f"{before}  {before}", 3: f"{before} ", 4: before, 5: "a , b"}
+    duckdb = pytest.importorskip("duckdb")
+    from tidemill.llm.catalog_sql import DECONTAMINATION
+
+    con = duckdb.connect()
+    con.register("documents", table(*rows).toPandas())
+    con.execute("CREATE TABLE benchmark (item_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO benchmark VALUES (?, ?)", [tuple(r) for r in bench.collect()])
+    sql = {r[0]: (r[2], r[3], r[4], r[5]) for r in con.execute(DECONTAMINATION).fetchall()}
+    assert got == sql

@@ -41,7 +41,7 @@ def words(text: bytes) -> list[bytes]:
 class ItemAutomaton:
     """Suffix automaton over the word ids of all items."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[str | None, list[bytes]]], window: int = WINDOW):
         self.window = window
         self.ids: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
@@ -162,14 +162,14 @@ class ItemAutomaton:
 
 
 def item_automaton(benchmark: DataFrame, window: int = WINDOW) -> ItemAutomaton:
-    """The automaton of a table ``item_id, text``; null ids and texts without words are skipped.
+    """The automaton of a table ``item_id, text``; texts without words are skipped.
 
-    It is built on the driver and sent to every task. Test items of more than MAX_ITEM_WORDS
-    words are an error; run such a set in several parts.
+    Items without an id take part like all others. It is built on the driver and sent to every
+    task. Test items of more than MAX_ITEM_WORDS words are an error; run such a set in several parts.
     """
     items, total = [], 0
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
-    for row in rows.filter(F.col("item_id").isNotNull() & F.col("text").isNotNull()).distinct().orderBy("item_id", "text").toLocalIterator():
+    for row in rows.filter(F.col("text").isNotNull()).distinct().orderBy("item_id", "text").toLocalIterator():
         own = words(row["text"].encode())
         total += len(own)
         if total > MAX_ITEM_WORDS:
@@ -210,6 +210,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     ``clean_text`` is the text without its hit spans, null where nothing is hit. A null text
     has no words. Columns of these names are replaced, all others stay. Rows are independent of each other,
     so repeated rows, null ids and empty tables need no rule; without items nothing is hit.
+    All items without an id found count as one in ``n_items``; the digest is over the ids there are.
     """
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -231,10 +232,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
                 own = words(text)
                 mask, numbers = automaton.scan(own)
                 n_hit = int(mask.sum())
-                named = sorted({automaton.item_ids[i] for i in numbers})
+                ids = {automaton.item_ids[i] for i in numbers}
+                named = sorted(ids - {None})
                 digest = hashlib.sha256(",".join(named).encode()).hexdigest() if named else nothing
                 clean = _without(text, mask).decode("utf-8", "replace") if n_hit else None
-                rows.append((len(own), n_hit, len(named), digest, n_hit > 0, clean))
+                rows.append((len(own), n_hit, len(ids), digest, n_hit > 0, clean))
             made = [pa.array(v, f.type) for v, f in zip(zip(*rows), arrow)] if rows else [pa.array([], f.type) for f in arrow]
             yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *arrow.names])
 
