@@ -51,6 +51,44 @@ def test_ensembles(spark, rows):
         P.ensemble(one, models, names, "median")
 
 
+@pytest.mark.parametrize("hot_rows", [None, 1])
+@pytest.mark.parametrize("method", ["average", "vote"])
+def test_ensemble_against_brute_force(spark, monkeypatch, method, hot_rows):
+    monkeypatch.setattr(P, "MODELS_PER_BLOCK", 4)
+    chance = random.Random(5)
+    weights = {(f"m{m}", f): chance.choice([-1.0, -0.5, 0.75, 1.5]) for m in range(30) for f in range(12) if chance.random() < 0.4}
+    docs = [(d, "ham", [chance.randrange(14) for _ in range(chance.randrange(8))]) for d in [None, *(f"d{i}" for i in range(40))]]
+    names = [f"m{m}" for m in range(28)] + ["m1", "unknown"]
+    instances = spark.createDataFrame(docs, INSTANCES)
+    models = spark.createDataFrame([(m, f, w) for (m, f), w in weights.items()], MODEL)
+    got = {r.doc_id: (r.score, r.prediction) for r in P.ensemble(instances, models, names, method, hot_rows).collect()}
+    assert got.keys() == {d for d, *_ in docs}
+    for doc_id, _, features in docs:
+        each = [sum(weights.get((m, f), 0.0) for f in features) for m in names]
+        score = sum(each) / len(each) if method == "average" else sum(1 if s > 0 else -1 for s in each)
+        assert got[doc_id] == (pytest.approx(score), "spam" if score > 0 else "ham")
+    assert P.ensemble(instances, models, [], method, hot_rows).collect() == []
+
+
+def test_ensemble_of_more_than_a_thousand_models(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    import __spark_entry__ as contract
+
+    chance = random.Random(8)
+    docs = [(i, " ".join(chance.choice("abcde") + chance.choice("abcde") for _ in range(6)), f"l{i:04d}") for i in range(1100)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(i, chance.randrange(2)) for i, *_ in docs]
+    spark.createDataFrame(labels, "doc_id bigint, quality int").coalesce(1).write.parquet(str(tmp_path / "labels.parquet"))
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{tmp_path}/{name}.parquet/*.parquet'")
+    for name in ("spam_ensemble_average", "spam_ensemble_vote"):
+        got = sorted(tuple(r) for r in contract.queries()[name](spark, str(tmp_path)).collect())
+        want = sorted(con.execute(contract.oracle_sql()[name]).fetchall())
+        assert [(d, y, p) for d, y, _, p in got] == [(d, y, p) for d, y, _, p in want]
+        assert [s for *_, s, _ in got] == pytest.approx([s for *_, s, _ in want], abs=2e-6)
+
+
 def test_one_step_of_training(spark, rows):
     df = spark.createDataFrame([("m", "d", "spam", [1, 2, 1])], f"model_id string, {INSTANCES}")
     got = {f: w for _, f, w in rows(P.train_online(df, F.col("doc_id")))}

@@ -16,8 +16,6 @@ from tidemill.sources.text import parse_instances, read_model
 EPOCHS = 3
 SEED = 7
 SEEDS = (1, 2, 3)
-# An ensemble has a column per model.
-MAX_MODELS = 1000
 # Two letters of a token give a feature from 0 to 701.
 FEATURES = 702
 
@@ -101,9 +99,8 @@ def _rounded(df, column="score", digits=4):
 def _ensemble(t, method):
     rows = _by_language(t)
     trained = P.train_batch(rows, EPOCHS)
-    # One model per language; the list is a parameter of the ensemble.
-    members = [r[0] for r in trained.select("model_id").distinct().orderBy("model_id").limit(MAX_MODELS).collect()]
-    return _rounded(P.ensemble(rows, trained, members, method), digits=6)
+    # One model per language, however many there are.
+    return _rounded(P.ensemble(rows, trained, trained.select("model_id").distinct(), method), digits=6)
 
 
 def _lines(t):

@@ -19,6 +19,8 @@ from tidemill.runtime import attach, cut_lineage, is_small, keep_partitioned, sh
 
 DELTA = 0.002
 SHARDS = 4
+# Models whose weights of a feature stand in one row, about.
+MODELS_PER_BLOCK = 1_000
 
 
 def is_spam(label: Column) -> Column:
@@ -64,20 +66,57 @@ def classify(instances: DataFrame, model: DataFrame, hot_rows: int | None = None
     return score(instances, model, hot_rows).withColumn("prediction", predicted(F.col("score")))
 
 
+def _model_scores(instances: DataFrame, models: DataFrame, size: int, hot_rows: int | None) -> DataFrame:
+    """``doc_id, label, model_id, copies, score``: a row per model that knows a feature of a document."""
+    key = ["doc_id", "label"]
+    occurrences = instances.select(*key, F.explode("features").alias("feature"))
+    counted = occurrences.groupBy(*key, "feature").agg(F.count(F.lit(1)).alias("k"))
+    if hot_rows is None and is_small(models):
+        weighted = counted.join(F.broadcast(models), "feature")
+    else:
+        # A feature has a row per block of models, so that no row grows with their number.
+        blocks = size // MODELS_PER_BLOCK + 1
+        block = F.pmod(F.xxhash64("model_id"), F.lit(blocks)).alias("block")
+        packed = models.groupBy("feature", block).agg(F.collect_list(F.struct("model_id", "copies", "weight")).alias("members"))
+        fan = counted.groupBy("feature").agg(F.count(F.lit(1)).alias("fan"))
+        every = F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))
+        parts = counted.select(*key, "feature", "k", F.explode(every).alias("block"))
+        met = attach(parts, packed.join(fan, "feature"), ["feature", "block"], key, "fan", hot_rows=hot_rows)
+        weighted = met.select(*key, "k", F.inline("members"))
+    return weighted.groupBy(*key, "model_id", "copies").agg(F.sum(F.col("k") * F.col("weight")).alias("score"))
+
+
 def ensemble(
-    instances: DataFrame, models: DataFrame, model_ids: Sequence, method: str, hot_rows: int | None = None
+    instances: DataFrame,
+    models: DataFrame,
+    model_ids: Sequence | DataFrame,
+    method: str,
+    hot_rows: int | None = None,
 ) -> DataFrame:
-    """``doc_id, label, score, prediction``: the mean of the scores, or one vote per model."""
-    scored = scores(instances, models, model_ids, hot_rows)
-    each = [F.col("scores")[F.lit(m)] for m in model_ids]
-    if method == "average":
-        total = sum(each[1:], each[0]) / len(each)
-    elif method == "vote":
-        votes = [F.when(s > 0, 1).otherwise(-1) for s in each]
-        total = sum(votes[1:], votes[0]).cast("double")
-    else:
+    """``doc_id, label, score, prediction``: the mean of the scores, or one vote per model.
+
+    ``model_ids`` lists the ensemble, or is a table ``model_id`` of any length. A model that
+    knows no feature of a document scores 0 there, which is a vote for ham. An ensemble without
+    models says nothing about any document.
+    """
+    if method not in ("average", "vote"):
         raise ValueError(f"neither average nor vote: {method!r}")
-    return scored.select("doc_id", "label", total.alias("score")).withColumn("prediction", predicted(F.col("score")))
+    if not isinstance(model_ids, DataFrame):
+        kind = models.schema["model_id"].dataType.simpleString()
+        model_ids = instances.sparkSession.createDataFrame([(m,) for m in model_ids], f"model_id {kind}")
+    members = model_ids.groupBy("model_id").agg(F.count(F.lit(1)).alias("copies"))
+    size = model_ids.count()
+    known = models.join(members, "model_id")
+    each = _model_scores(instances, known, size, hot_rows).select(
+        "doc_id", "label", (F.col("copies") * F.col("score")).alias("total"),
+        F.when(F.col("score") > 0, F.col("copies")).otherwise(0).alias("ayes"),
+    )
+    # The models that a document does not meet are zeros; a document may meet none.
+    zero = instances.select("doc_id", "label", F.lit(0.0).alias("total"), F.lit(0).cast("bigint").alias("ayes"))
+    rows = zero.filter(F.lit(size > 0)).unionByName(each)
+    summed = rows.groupBy("doc_id", "label").agg(F.sum("total").alias("total"), F.sum("ayes").alias("ayes"))
+    score = F.col("total") / size if method == "average" else (2 * F.col("ayes") - size).cast("double")
+    return summed.select("doc_id", "label", score.alias("score")).withColumn("prediction", predicted(F.col("score")))
 
 
 _WEIGHTS = ["model_id", "shard", "feature", "weight"]
