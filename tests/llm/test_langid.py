@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemill.llm import langid
 
@@ -54,3 +55,27 @@ def test_cases(spark, labelled):
     assert {r.lang_pred for r in langid.identify(docs, {}).collect()} == {"und"}
     assert {r.score for r in langid.identify(docs, {"aa": b"x"}).collect()} == {0.0, 1.0}
     assert langid.identify(docs.limit(0), model).collect() == []
+
+
+def test_every_sampled_text_has_a_share(spark):
+    rng = random.Random(12)
+    own = [f"t{i}x " + text("aa", rng, n) for i, n in enumerate([5, 20] * 10 + [9_000] * 10)]
+    rows = [(i, x, "aa") for i, x in enumerate(own * 4)] + [(1000 + i, own[-1], "aa") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").filter(~langid.held_out(F.col("doc_id")))
+    seen = {r.text for r in docs.collect()}
+    room = 16_384
+    taken = langid.sampled(docs, 1_000, room)["aa"]
+    assert len(taken) == len(set(taken)) == len(seen)
+    assert {t.split()[0] for t in taken} == {x.split()[0].encode() for x in seen}
+    whole = {" ".join(x.lower().split()).encode() for x in seen}
+    cut = [t for t in taken if t not in whole]
+    assert len({len(t) for t in cut}) == 1 and len(cut[0]) > room / len(taken)
+    (model,) = langid.learn(docs, 1_000, room).values()
+    assert model == b" ".join(taken) and room - len(taken) <= len(model) <= room
+
+
+def test_equal_share():
+    for sizes, room in (([], 10), ([3], 10), ([30], 10), ([1, 1, 50, 60], 44), ([9, 9, 9], 30), ([9, 9, 10], 30)):
+        cap = langid._equal_share(sizes, room)
+        assert sum(min(s, cap) + 1 for s in sizes) <= room
+        assert not sizes or cap >= max(sizes) or sum(min(s, cap + 1) + 1 for s in sizes) > room

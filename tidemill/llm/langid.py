@@ -9,6 +9,8 @@ the second best. Where that margin is narrow the text is rejected.
 
 from __future__ import annotations
 
+import hashlib
+
 import pyarrow as pa
 import regex
 import zstandard
@@ -40,12 +42,40 @@ def _folded(text: str) -> bytes:
     return " ".join(text.lower().split()).encode()
 
 
-def learn(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
-    """Dictionary per language from labelled documents that are not held out.
+def _heads(taken: DataFrame, caps: dict[str, int]) -> DataFrame:
+    """``lang, place, digest, size, head`` of ``lang, place, text``: digest and bytes of the folded
+    text, and as many of its first bytes as ``caps`` has for the language."""
+
+    def run(batches):
+        for batch in small(batches):
+            langs = batch.column(0).to_pylist()
+            folded = [_folded(text) for text in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array([hashlib.sha256(f).digest() for f in folded], pa.binary()), pa.array([len(f) for f in folded], pa.int64()),
+                 pa.array([f[: caps.get(lang, 0)] for lang, f in zip(langs, folded)], pa.binary())],
+                names=["lang", "place", "digest", "size", "head"],
+            )
+
+    return taken.mapInArrow(run, "lang string, place double, digest binary, size bigint, head binary").filter(F.col("size") > 0)
+
 
-    The sample is bounded: about ``sample_texts`` texts per language, taken by a hash of
-    ``doc_id``, of which the driver keeps ``dictionary_bytes`` bytes per language. Rows with a
-    null ``doc_id``, ``lang`` or ``text`` teach nothing. No labelled rows give an empty model.
+def _equal_share(sizes: list[int], room: int) -> int:
+    """The largest cap with which texts of these sizes, a blank after each, fit into ``room``."""
+    left = len(sizes)
+    for size in sorted(sizes):
+        if size + 1 > room // left:
+            return max(room // left - 1, 1)
+        room -= size + 1
+        left -= 1
+    return max(sizes, default=0)
+
+
+def sampled(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, list[bytes]]:
+    """Beginnings of the texts each language is learned from, a list per language.
+
+    About ``sample_texts`` rows per language are taken by a hash of ``doc_id``. Each distinct
+    text among them has an equal share of ``dictionary_bytes``; what short texts leave over goes
+    to the others. Texts are cut before they are collected.
     """
     known = docs.select("doc_id", "lang", "text").filter(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))
@@ -57,15 +87,24 @@ def learn(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, dictionary_bytes: i
     limit = F.lit(0.0)
     for lang, n in counts.items():
         limit = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_texts / n))).otherwise(limit)
-    taken = known.withColumn("place", place).filter(F.col("place") < limit).select("lang", "place", "doc_id", "text")
-    parts: dict[str, list[bytes]] = {lang: [] for lang in counts}
-    sizes = dict.fromkeys(counts, 0)
-    for row in sorted(taken.collect(), key=lambda r: (r["place"], r["doc_id"], r["text"])):
-        lang = row["lang"]
-        if sizes[lang] < dictionary_bytes:
-            parts[lang].append(_folded(row["text"]))
-            sizes[lang] += len(parts[lang][-1]) + 1
-    return {lang: b" ".join(texts)[:dictionary_bytes] for lang, texts in parts.items() if sizes[lang] > len(texts)}
+    taken = known.withColumn("place", place).filter(F.col("place") < limit).select("lang", "place", "text")
+    found: dict[str, list] = {}
+    distinct = _heads(taken, {}).groupBy("lang", "digest").agg(F.min("place").alias("place"), F.first("size").alias("size"))
+    for row in sorted(distinct.collect(), key=lambda r: (r["place"], r["digest"])):
+        found.setdefault(row["lang"], []).append((bytes(row["digest"]), row["size"]))
+    caps = {lang: _equal_share([size for _, size in own], dictionary_bytes) for lang, own in found.items()}
+    cut = _heads(taken, caps).select("lang", "digest", "head").dropDuplicates(["lang", "digest"])
+    heads = {(row["lang"], bytes(row["digest"])): bytes(row["head"]) for row in cut.collect()}
+    return {lang: [heads[lang, digest] for digest, _ in own] for lang, own in found.items()}
+
+
+def learn(docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, dictionary_bytes: int = DICTIONARY_BYTES) -> dict[str, bytes]:
+    """Dictionary per language from labelled documents that are not held out.
+
+    It holds the texts of ``sampled``, at most ``dictionary_bytes`` bytes per language. Rows with
+    a null ``doc_id``, ``lang`` or ``text`` teach nothing. No labelled rows give an empty model.
+    """
+    return {lang: b" ".join(own)[:dictionary_bytes] for lang, own in sampled(docs, sample_texts, dictionary_bytes).items()}
 
 
 def identify(docs: DataFrame, model: dict[str, bytes], level: int = LEVEL, margin: float = MARGIN) -> DataFrame:
