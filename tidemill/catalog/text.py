@@ -110,8 +110,8 @@ def register(catalog: Catalog) -> None:
         f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, n FROM pmi")
     add("pmi_pairs", lambda t: _rounded(C.pmi(_lines(t), MIN_COUNT), "pmi"),
         f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, n, round(pmi, 8) AS pmi FROM pmi")
-    add("pmi_pairs_capped", lambda t: _rounded(C.pmi(_lines(t), MIN_COUNT, max_tokens=20), "pmi"),
-        f"WITH {S.half_pmi(MIN_COUNT, 20)} SELECT x, y, n, round(pmi, 8) AS pmi FROM pmi")
+    add("pmi_pairs_capped", lambda t: _rounded(C.pmi(_lines(t), MIN_COUNT, max_tokens=100), "pmi"),
+        f"WITH {S.half_pmi(MIN_COUNT, 100)} SELECT x, y, n, round(pmi, 8) AS pmi FROM pmi")
     add("pmi_stripes",
         lambda t: _rounded(unroll(C.pmi_stripes(_lines(t), MIN_COUNT), "x", "y", "pmi"), "pmi"),
         f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, round(pmi, 8) AS pmi FROM pmi")
