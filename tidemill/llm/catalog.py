@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.catalog.base import Catalog
-from tidemill.llm import decontam, exactdup, langid, licenses, linededup, neardup, packing, pii, tokens, warc
-from tidemill.llm.catalog_sql import DECONTAMINATION, EXACT_DUPLICATES, LICENSES, LINE_DEDUP, NEAR_DUPLICATES, PERSONAL_DATA, WARC
+from tidemill.llm import decontam, exactdup, langid, licenses, linededup, neardup, packing, pii, substrings, tokens, warc
+from tidemill.llm.catalog_sql import (
+    DECONTAMINATION, EXACT_DUPLICATES, LICENSES, LINE_DEDUP, NEAR_DUPLICATES, PERSONAL_DATA, REPEATED_WINDOWS, WARC,
+)
 
 
 def _tokenizer_file() -> str:
@@ -51,6 +53,11 @@ def language(t) -> DataFrame:
     return named.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def repeated_windows(t) -> DataFrame:
+    kept = substrings.drop_repeated_windows(_texts(t))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def register(catalog: Catalog) -> None:
     add = catalog.add
     add("op1_anchor_pii", personal_data, PERSONAL_DATA)
@@ -63,3 +70,4 @@ def register(catalog: Catalog) -> None:
     add("op8_language_id", language)
     add("op9_exact_duplicates", lambda t: exactdup.exact_duplicates(_texts(t)), EXACT_DUPLICATES)
     add("op10_best_fit_packing", lambda t: packing.pack_documents(t.documents))
+    add("op13_repeated_windows", repeated_windows, REPEATED_WINDOWS)

@@ -124,3 +124,14 @@ CASE WHEN first <> page_id THEN first END AS refers_to FROM p LEFT JOIN f ON p.d
 EXACT_DUPLICATES = """WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents),
 g AS (SELECT x, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY x)
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t.x) AS text_sha256 FROM t JOIN g ON t.x = g.x"""
+
+REPEATED_WINDOWS = r"""WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, sha256(array_to_string(w[i:i + 49], ' ')) AS win FROM (
+    SELECT doc_id, w, unnest(generate_series(1, len(w) - 49)) AS i FROM t WHERE len(w) >= 50)),
+f AS (SELECT win, min(doc_id) AS first FROM g GROUP BY win HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS i FROM g JOIN f ON g.win = f.win WHERE doc_id > first),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS i FROM t WHERE len(w) > 0),
+kept AS (SELECT words.doc_id, count(gone.i) AS n_removed, string_agg(word, ' ' ORDER BY words.i) FILTER (gone.i IS NULL) AS x
+    FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i GROUP BY words.doc_id)
+SELECT t.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(x, '')) AS kept_sha256
+FROM t LEFT JOIN kept ON t.doc_id = kept.doc_id"""
