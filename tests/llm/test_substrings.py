@@ -62,7 +62,7 @@ def test_against_brute_force(table, prose, window, slice_words):
 def test_rows_of_one_id_lose_nothing_to_each_other(table):
     rows = [(3, "a b c d"), (3, "a b c d"), (3, "z a b c"), (4, "a b c d"), (4, "x a b c")]
     assert run(table(*rows).repartition(3), window=3) == brute(rows, 3)
-    assert [r[2] for r in brute(rows, 3)] == [0, 0, 0, 4, 3]
+    assert sorted(r[2] for r in brute(rows, 3)) == [0, 0, 0, 3, 4]
 
 
 def test_the_window_of_fifty(table, prose):
