@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.catalog.base import Catalog
-from tidemill.llm import decontam, exactdup, langid, licenses, linededup, neardup, packing, pii, substrings, tokens, warc
+from tidemill.llm import decontam, exactdup, langid, licenses, linededup, neardup, packing, phrases, pii, runs, substrings, tokens, warc
 from tidemill.llm.catalog_sql import (
-    DECONTAMINATION, EXACT_DUPLICATES, LICENSES, LINE_DEDUP, NEAR_DUPLICATES, PERSONAL_DATA, REPEATED_WINDOWS, WARC,
+    COLLOCATIONS, DECONTAMINATION, EXACT_DUPLICATES, LICENSES, LINE_DEDUP, NEAR_DUPLICATES,
+    PERIODIC_RUNS, PERSONAL_DATA, REPEATED_WINDOWS, WARC,
 )
 
 
@@ -53,6 +54,35 @@ def language(t) -> DataFrame:
     return named.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def _with_planted_runs(docs: DataFrame) -> DataFrame:
+    """The texts the contract of op12 looks at: a tenth of them repeats from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = docs.withColumn("w", F.when(h % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")))
+    sized = split.withColumn("n", F.size("w").cast("bigint")).withColumn("g", F.floor(h / 10))
+    placed = sized.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    placed = placed.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    tail = F.flatten(F.expr("array_repeat(slice(w, cast(a + 1 as int), cast(p as int)), cast((n - a) div p + 1 as int))"))
+    planted = F.concat_ws(" ", F.expr("slice(w, 1, cast(a as int))"), F.slice(tail, F.lit(1), (F.col("n") - F.col("a")).cast("int")))
+    return placed.select("doc_id", F.when(F.col("a").isNotNull(), planted).otherwise(F.col("text")).alias("text"))
+
+
+def periodic_runs(t) -> DataFrame:
+    found = runs.collapse_runs(_with_planted_runs(_texts(t)))
+    # The longest run; of equal ones the first, then the one with the smallest period.
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("l"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.s")).alias("start"),
+        F.col("best.l").alias("length"),
+        (-F.col("best.p")).alias("period"),
+        F.expr("(1000 * best.l) div (-best.p)").alias("exponent_milli"),
+        F.sha2(F.concat_ws("", listed), 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 def repeated_windows(t) -> DataFrame:
     kept = substrings.drop_repeated_windows(_texts(t))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
@@ -70,4 +100,6 @@ def register(catalog: Catalog) -> None:
     add("op8_language_id", language)
     add("op9_exact_duplicates", lambda t: exactdup.exact_duplicates(_texts(t)), EXACT_DUPLICATES)
     add("op10_best_fit_packing", lambda t: packing.pack_documents(t.documents))
+    add("op11_collocations", lambda t: phrases.collocations(t.documents), COLLOCATIONS)
+    add("op12_periodic_runs", periodic_runs, PERIODIC_RUNS)
     add("op13_repeated_windows", repeated_windows, REPEATED_WINDOWS)

@@ -135,3 +135,47 @@ kept AS (SELECT words.doc_id, count(gone.i) AS n_removed, string_agg(word, ' ' O
     FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i GROUP BY words.doc_id)
 SELECT t.doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(x, '')) AS kept_sha256
 FROM t LEFT JOIN kept ON t.doc_id = kept.doc_id"""
+
+# crc32 bit by bit; the value at the end is still to be inverted.
+_CRC32 = """list_reduce(flatten(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1])),
+    lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, 3988292384 * (c & 1)) END, CAST(4294967295 AS BIGINT))"""
+PERIODIC_RUNS = rf"""WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, 4294967295 - {_CRC32} AS h FROM documents),
+b AS (SELECT *, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a FROM t),
+c AS (SELECT *, 1 + (len(w) - a) // (3 + (h // 10) % 8) AS p FROM b),
+word AS (SELECT doc_id, i, CASE WHEN i >= a THEN w[a + (i - a) % p + 1] ELSE w[i + 1] END AS word FROM (
+    SELECT doc_id, w, a, p, unnest(generate_series(0, len(w) - 1)) AS i FROM c WHERE len(w) > 0)),
+texts AS (SELECT doc_id, list(word ORDER BY i) AS w FROM word GROUP BY doc_id),
+gram AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 6], ' ') AS g FROM (
+    SELECT doc_id, w, unnest(generate_series(0, len(w) - 6)) AS i FROM texts WHERE len(w) >= 12)),
+met AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM gram x JOIN gram y ON x.doc_id = y.doc_id AND x.g = y.g AND x.i < y.i),
+island AS (SELECT doc_id, q, min(i) AS s, max(i) - min(i) + 6 AS m FROM (
+    SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS part FROM met) GROUP BY doc_id, q, part),
+long AS (SELECT doc_id, s, m + q AS l, q FROM island WHERE m + q >= greatest(12, 2 * q)),
+run AS (SELECT * FROM long x WHERE NOT EXISTS (SELECT 1 FROM long y WHERE y.doc_id = x.doc_id AND y.q < x.q AND y.s <= x.s AND y.s + y.l >= x.s + x.l)),
+named AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS names,
+    first(s ORDER BY l DESC, s, q) AS start, max(l) AS length, first(q ORDER BY l DESC, s, q) AS period FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(s + q, s + l - 1)) AS i FROM run),
+kept AS (SELECT word.doc_id, string_agg(word, ' ' ORDER BY word.i) FILTER (gone.i IS NULL) AS x
+    FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.i = gone.i GROUP BY word.doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, 1000 * length // period AS exponent_milli,
+sha256(coalesce(names, '')) AS runs_sha256, sha256(coalesce(x, '')) AS collapsed_sha256
+FROM t LEFT JOIN named ON t.doc_id = named.doc_id LEFT JOIN kept ON t.doc_id = kept.doc_id"""
+
+COLLOCATIONS = rf"""WITH t AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang, string_split_regex({_lowered('text')}, '[.,;:!?\x0A-\x0D]') AS ps FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(ps) AS piece FROM t)),
+g AS (SELECT lang, k, w[i:i + k - 1] AS ws FROM (
+    SELECT lang, w, k, unnest(generate_series(1, len(w) - k + 1)) AS i FROM p, (VALUES (1), (2), (3)) sizes(k) WHERE len(w) >= k)),
+f AS (SELECT lang, k, array_to_string(ws, ' ') AS phrase, ws, count(*) AS f FROM g GROUP BY lang, k, ws),
+n AS (SELECT lang, sum(f) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT * FROM f WHERE k > 1 AND f >= 10),
+cut AS (SELECT lang, k, phrase, f AS a, j, array_to_string(ws[1:j], ' ') AS head, array_to_string(ws[j + 1:k], ' ') AS rest FROM (
+    SELECT *, unnest(generate_series(1, k - 1)) AS j FROM c)),
+scored AS (SELECT cut.*, x.f AS l, y.f AS r, (1000000 * CAST(a AS HUGEINT) * a) // (CAST(x.f AS HUGEINT) * y.f) AS score
+    FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = head JOIN f y ON y.lang = cut.lang AND y.phrase = rest),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+longer AS (SELECT lang, inner_phrase, max(f) AS longest FROM (
+    SELECT lang, f, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS inner_phrase FROM c WHERE k = 3) GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN longer ON best.lang = longer.lang AND best.phrase = inner_phrase AND k = 2
+    WHERE longest IS NULL OR 100 * longest < 50 * a)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN n ON kept.lang = n.lang QUALIFY rank <= 2000"""
