@@ -29,8 +29,6 @@ WINDOW = 50
 # Words of a slice; a longer text is a slice of its own.
 SLICE_WORDS = 1 << 20
 BUCKETS_PER_PARTITION = 8
-# Marks a task holds before it hands them on.
-HELD_MARKS = 1 << 20
 _BASES = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
 
 _ROWS = pa.schema(
@@ -38,8 +36,8 @@ _ROWS = pa.schema(
      ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("spans", pa.list_(pa.int64()))]
 )
 _ROWS_SPARK = "bucket int, base bigint, gaps binary, hashes array<bigint>, doc_id bigint, text_hash bigint, spans array<bigint>"
-_MARKS = pa.schema([("doc_id", pa.int64()), ("hashes", pa.list_(pa.int64())), ("text_hash", pa.int64()), ("spans", pa.list_(pa.int64()))])
-_MARKS_SPARK = "doc_id bigint, hashes array<bigint>, text_hash bigint, spans array<bigint>"
+_MARKS = pa.schema([("doc_id", pa.int64()), ("hash", pa.int64()), ("text_hash", pa.int64()), ("spans", pa.list_(pa.int64()))])
+_MARKS_SPARK = "doc_id bigint, hash bigint, text_hash bigint, spans array<bigint>"
 
 
 def text_hash(text: bytes) -> int:
@@ -159,63 +157,49 @@ def _sliced(window: int, buckets: int, slice_words: int):
     return run
 
 
-class _Marks:
-    """Marked windows, handed on as one row per document."""
-
-    def __init__(self):
-        self.parts, self.count = [], 0
-
-    def settle(self, parts) -> None:
-        """Mark the windows of a whole bucket that a document with a smaller id has too."""
-        if not parts:
-            return
-        hashes, ids = (np.concatenate(p) for p in zip(*parts))
-        order = np.lexsort((ids, hashes))
-        hashes, ids = hashes[order], ids[order]
-        cut = _groups(hashes)
-        marked = ids > np.repeat(ids[cut[:-1]], np.diff(cut))
-        self.parts.append((ids[marked], hashes[marked]))
-        self.count += int(marked.sum())
-
-    def rows(self):
-        ids, hashes = (np.concatenate(p) for p in zip(*self.parts))
-        self.parts, self.count = [], 0
-        if not len(ids):
-            return
-        order = np.argsort(ids, kind="stable")
-        ids, hashes = ids[order], hashes[order]
-        cut = _groups(ids)
-        lists = pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(hashes))
-        n = len(lists)
-        yield pa.RecordBatch.from_arrays([pa.array(ids[cut[:-1]]), lists, pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], schema=_MARKS)
+def _settled(parts) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and hashes of the windows of a whole bucket that a document with a smaller id has too."""
+    hashes, ids = (np.concatenate(p) for p in zip(*parts))
+    order = np.lexsort((ids, hashes))
+    hashes, ids = hashes[order], ids[order]
+    cut = _groups(hashes)
+    marked = ids > np.repeat(ids[cut[:-1]], np.diff(cut))
+    return ids[marked], hashes[marked]
 
 
 def _marked(batches):
     """Marks of every bucket, which comes as neighboring rows; spans pass through."""
-    marks, bucket, parts = _Marks(), None, []
+    bucket, parts = None, []
+
+    def marks():
+        ids, hashes = _settled(parts)
+        for b in range(0, len(ids), 10_000):
+            n = len(ids[b : b + 10_000])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[b : b + n]), pa.array(hashes[b : b + n]), pa.nulls(n, pa.int64()), pa.nulls(n, pa.list_(pa.int64()))], schema=_MARKS
+            )
+
     for batch in small(batches, 64):
         spans = batch.filter(batch.column("doc_id").is_valid())
         if spans.num_rows:
-            yield pa.RecordBatch.from_arrays([spans.column("doc_id"), pa.nulls(spans.num_rows, pa.list_(pa.int64())), spans.column("text_hash"), spans.column("spans")], schema=_MARKS)
+            yield pa.RecordBatch.from_arrays([spans.column("doc_id"), pa.nulls(spans.num_rows, pa.int64()), spans.column("text_hash"), spans.column("spans")], schema=_MARKS)
         for number, base, gaps, hashes in zip(*(batch.column(n) for n in ("bucket", "base", "gaps", "hashes"))):
             if not base.is_valid:
                 continue
             if number.as_py() != bucket:
-                marks.settle(parts)
+                if parts:
+                    yield from marks()
                 bucket, parts = number.as_py(), []
-                if marks.count > HELD_MARKS:
-                    yield from marks.rows()
             values = hashes.values.to_numpy()
             parts.append((values, unpacked_gaps(base.as_py(), gaps.as_py(), len(values))))
-    marks.settle(parts)
-    if marks.parts:
-        yield from marks.rows()
+    if parts:
+        yield from marks()
 
 
 def repeated_windows(docs: DataFrame, window: int = WINDOW, slice_words: int = SLICE_WORDS) -> DataFrame:
-    """``doc_id, hashes, text_hash, spans``: what each document loses.
+    """``doc_id, hash, text_hash, spans``: what each document loses.
 
-    Some rows of a document carry window hashes, others spans of word numbers (start, end,
+    Some rows of a document carry a window's hash, others spans of word numbers (start, end,
     start, end, ...) that hold for its row of that text only.
     """
     parts = shuffle_partitions(docs)
@@ -241,7 +225,7 @@ def drop_repeated_windows(docs: DataFrame, window: int = WINDOW, slice_words: in
     kept = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"),
                        *others(docs, "doc_id", "text", "n_words", "n_removed", "removed"))
     lists = repeated_windows(kept, window, slice_words).groupBy(F.col("doc_id").alias("__losing_id")).agg(
-        F.flatten(F.collect_list("hashes")).alias("__hashes"),
+        F.collect_list("hash").alias("__hashes"),
         F.collect_list(F.when(F.col("spans").isNotNull(), F.struct("text_hash", "spans"))).alias("__spans"),
     )
     joined = kept.join(lists, F.col("doc_id") == F.col("__losing_id"), "left").drop("__losing_id")
