@@ -17,8 +17,8 @@ def parsed(rows: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     return good, tried.filter(broken).drop("_variant")
 
 
-def schema(rows: DataFrame, column: str) -> str | None:
-    """The schema that holds all variants of ``column``, merged in one aggregate; null where there are none."""
+def schema(rows: DataFrame, column: str) -> str:
+    """The schema that holds all variants of ``column``, merged in one aggregate; ``VOID`` where there are none."""
     return rows.filter(F.col(column).isNotNull()).agg(F.schema_of_variant_agg(column)).first()[0]
 
 
