@@ -1,3 +1,5 @@
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,18 +16,32 @@ def test_attach_equals_a_join(spark, rows, monkeypatch, how, hot_rows, max_hot):
     assert rows(got.fillna(-1)) == rows(big.join(dim, "k", how).fillna(-1))
 
 
-def test_hot_rows_leave_their_partition(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+@pytest.mark.parametrize("adaptive", ["true", "false"])
+@pytest.mark.parametrize("aggregated", [True, False])
+def test_hot_rows_leave_their_partition(spark, tmp_path, adaptive, aggregated):
+    """One of many keys owns most rows; its rows spread whatever the dimension comes from."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": adaptive, "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
-        big = spark.range(20_000).select(F.lit(1).alias("k"), "id")
-        dim = spark.createDataFrame([(1, 20_000, "x")], "k int, fan bigint, v string")
-        got = runtime.attach(big, dim, ["k"], ["id"], "fan", "inner", 100)
+        big = spark.range(40_000).select(F.when(F.col("id") % 4 > 0, 7).otherwise(F.col("id") % 1000).alias("k"), "id")
+        dim = big.groupBy("k").agg(F.count("*").alias("fan"), F.max("id").alias("v"))
+        if not aggregated:
+            dim.write.parquet(str(tmp_path / "dim"))
+            dim = spark.read.parquet(str(tmp_path / "dim"))
+        got = runtime.attach(big, dim, ["k"], ["id"], "fan", "inner", 10_000)
+        plan = got._jdf.queryExecution().executedPlan().toString()
         sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+        plain = [r["count"] for r in big.join(dim, "k").groupBy(F.spark_partition_id()).count().collect()]
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 20_000 and len(sizes) == 4 and max(sizes) < 6_000
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert re.search(r"SortMergeJoin \[k#\d+L?, _salt#\d+L?\]", plan)
+    assert sum(sizes) == 40_000 and max(sizes) < 6_000 and (aggregated or adaptive == "true" or max(plain) > 30_000)
 
 
 def test_small_means_a_number_of_rows(spark):
@@ -54,5 +70,14 @@ def test_kept_partitioning_saves_a_shuffle(spark):
         plan = joined._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_kept_rows_are_computed_in_their_own_session(spark):
+    """The layout alone is fixed in advance; what comes before it runs adaptively, and no setting changes."""
+    seen = []
+
+    joined = spark.range(100).join(spark.range(50).withColumn("v", F.lit(1)), "id")
+    kept = runtime.keep_partitioned(joined, "id", then=lambda rows: (seen.append(rows.sparkSession.conf.get("spark.sql.adaptive.enabled")), rows)[1])
+    assert kept.count() == 50 and seen == ["false"] and spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    assert "Join" not in kept._jdf.queryExecution().executedPlan().toString()

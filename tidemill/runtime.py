@@ -71,18 +71,18 @@ def keep_partitioned(
     """``cut_lineage`` with the rows hash-partitioned and sorted by ``keys``.
 
     A later join or grouping on ``keys`` then leaves these rows where they are. ``then`` is a
-    step that keeps the partitioning and runs after it. Spark remembers the layout of a
-    checkpoint just for a plan that is fixed in advance, so adaptive execution is off while
-    the rows are laid out; ``df`` should be cheap to read by then.
+    step that keeps the partitioning and runs after it. ``df`` is computed and stored first,
+    under the settings of its own session. Spark remembers the layout of a checkpoint just for
+    a plan that is fixed in advance, so the stored rows are laid out in a session of their own,
+    in which adaptive execution is off; that plan reads, shuffles and sorts, and joins nothing.
     """
     spark = df.sparkSession
-    setting = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "false")
-    try:
-        return cut_lineage(then(df.repartition(shuffle_partitions(df), *keys)).sortWithinPartitions(*keys))
-    finally:
-        spark.conf.set(setting, before)
+    path = scratch_path(spark, "rows")
+    df.write.parquet(path)
+    fixed = spark.newSession()
+    fixed.conf.set("spark.sql.adaptive.enabled", "false")
+    rows = fixed.read.schema(df.schema).parquet(path)
+    return cut_lineage(then(rows.repartition(shuffle_partitions(df), *keys)).sortWithinPartitions(*keys))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -135,9 +135,9 @@ def attach(
     """Join ``big`` with ``dim`` (unique on ``on``) when a few keys may own most of ``big``.
 
     ``fan`` is a column of ``dim``: the number of rows of ``big`` per key. The keys with the
-    largest fan, at most MAX_HOT_KEYS, are broadcast; their rows are spread over salts by
-    ``spread`` and so leave the partition of their key. All other rows meet ``dim`` in an
-    ordinary join, for which the planner picks the strategy.
+    largest fan, at most MAX_HOT_KEYS, are broadcast; a salt that follows from ``spread`` is
+    part of the join's keys, so their rows leave the partition of their key. All other rows
+    have the salt 0 and meet ``dim`` in an ordinary join, for which the planner picks the strategy.
     """
     values = [c for c in dim.columns if c not in on]
     packed = dim.select(
@@ -153,7 +153,9 @@ def attach(
     salted = big.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.when(F.col("_hot").isNull(), F.lit(0).cast("bigint")).otherwise(salt)
     )
-    cold = packed.select(*on, F.col("_dim").alias("_cold"), F.lit(0).cast("bigint").alias("_salt"))
+    # A literal 0 would become a condition beside the join's keys; this zero is not seen through.
+    zero = F.pmod(F.xxhash64(*on), F.lit(1).cast("bigint"))
+    cold = packed.select(*on, F.col("_dim").alias("_cold"), zero.alias("_salt"))
     joined = salted.join(cold, [*on, "_salt"], "left").withColumn(
         "_value", F.coalesce("_hot", "_cold")
     )
