@@ -7,7 +7,7 @@ from tidemill.functions.numbers import log_sum
 from tidemill.functions.text import distinct_tokens, has_token, snippet, tokenize
 from tidemill.operators import bigrams as B
 from tidemill.operators import counts as N
-from tidemill.operators.stripes import unroll
+from tidemill.operators.stripes import stripes, unroll
 from tidemill.sources.text import lines
 
 
@@ -89,6 +89,16 @@ def test_stripes_of_a_large_key_are_cut(text_lines):
     assert few["block"] == next(r["block"] for r in cut.collect() if "waa" in r["stripe"])
 
 
+@pytest.mark.parametrize("entries", [1, 7, 10_000])
+def test_maps_have_a_bounded_number_of_entries(spark, rows, entries):
+    flat = spark.range(500).selectExpr("id % 3 AS k", "concat('w', id) AS o", "id AS v")
+    cut = stripes(flat, "k", "o", "v", 2, entries)
+    sizes = [len(r["stripe"]) for r in cut.collect()]
+    assert max(sizes) <= entries and sum(sizes) == 500
+    assert rows(unroll(cut, "k", "o", "v")) == rows(flat)
+    assert cut.filter("map_keys(stripe) != sort_array(map_keys(stripe))").isEmpty()
+
+
 def test_log_sum(spark):
     zero = float("-inf")
     df = spark.createDataFrame([(zero, zero), (zero, 0.0), (0.0, zero), (0.0, 0.0), (-800.0, -801.0)], "a double, b double")

@@ -117,7 +117,7 @@ def register(catalog: Catalog) -> None:
         f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, round(pmi, 8) AS pmi FROM pmi")
     add("pmi_top", lambda t: C.top_pairs(_rounded(C.pmi(_lines(t), MIN_COUNT), "pmi"), 10),
         f"WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, n, round(pmi, 8) AS pmi FROM pmi ORDER BY round(pmi, 8) DESC, x, y LIMIT 10")
-    add("pmi_for_word", lambda t: C.top_partners(_rounded(C.pmi(_lines(t), MIN_COUNT), "pmi"), GIVEN_WORDS, 3).select("x", "y", "pmi", "rank"),
+    add("pmi_for_word", lambda t: C.partners(_lines(t), GIVEN_WORDS, 3, MIN_COUNT, 8).select("x", "y", "pmi", "rank"),
         f"""WITH {S.half_pmi(MIN_COUNT)} SELECT x, y, round(pmi, 8) AS pmi,
         CAST(row_number() OVER (PARTITION BY x ORDER BY round(pmi, 8) DESC, y) AS INTEGER) AS rank
         FROM pmi WHERE x IN {GIVEN_WORDS} QUALIFY rank <= 3""")

@@ -45,6 +45,6 @@ def relative_frequencies(counts: DataFrame, hot_rows: int | None = None) -> Data
 
 
 def relative_frequency_stripes(counts: DataFrame, blocks: int = STRIPE_BLOCKS, hot_rows: int | None = None) -> DataFrame:
-    """``a, block, stripe``: the shares of all successors of ``a`` as maps."""
+    """``a, block, part, stripe``: the shares of all successors of ``a`` as maps."""
     joined, _ = _with_marginals(counts, hot_rows)
     return stripes(joined.select("a", "b", (F.col("n") / F.col("total")).alias("f")), "a", "b", "f", blocks)

@@ -14,47 +14,55 @@ from pyspark.sql import functions as F
 from tidemill.runtime import attach, cut_lineage
 
 
-def _with_smallest(links: DataFrame, hot_rows: int | None) -> DataFrame:
+def _smallest(links: DataFrame) -> DataFrame:
+    """``u, low, fan``: the smallest neighbor of every ``u`` and the number of its links.
+
+    Kept, because it is read several times and is then the stored side of a join.
+    """
+    return cut_lineage(links.groupBy("u").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("fan")))
+
+
+def _with_smallest(links: DataFrame, low: DataFrame, hot_rows: int | None) -> DataFrame:
     """``u, v, low``: the smallest neighbor of ``u``, or ``u`` itself if smaller."""
-    low = links.groupBy("u").agg(F.min("v").alias("low"), F.count(F.lit(1)).alias("fan"))
     joined = attach(links, low, ["u"], ["v"], "fan", hot_rows=hot_rows)
     return joined.select("u", "v", F.least("u", "low").alias("low"))
 
 
-def _large_star(links: DataFrame, hot_rows: int | None) -> DataFrame:
-    """Every larger neighbor is linked to the smallest one."""
+def _mirrored(links: DataFrame) -> DataFrame:
     ends = F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
-    both = links.select(F.explode(ends).alias("e")).select("e.u", "e.v")
-    larger = _with_smallest(both, hot_rows).filter(F.col("v") > F.col("u"))
+    return links.select(F.explode(ends).alias("e")).select("e.u", "e.v")
+
+
+def _large_star(both: DataFrame, low: DataFrame, hot_rows: int | None) -> DataFrame:
+    """Every larger neighbor is linked to the smallest one."""
+    larger = _with_smallest(both, low, hot_rows).filter(F.col("v") > F.col("u"))
     return larger.select(F.col("v").alias("u"), F.col("low").alias("v")).distinct()
 
 
 def _small_star(links: DataFrame, hot_rows: int | None) -> DataFrame:
     """Every smaller neighbor, and the node itself, is linked to the smallest one."""
-    low = _with_smallest(links, hot_rows)
+    low = _with_smallest(links, _smallest(links), hot_rows)
     ends = F.array(F.struct(F.col("v").alias("u"), F.col("low").alias("v")), F.struct("u", F.col("low").alias("v")))
     linked = low.select(F.explode(ends).alias("e")).select("e.u", "e.v")
     return linked.filter(F.col("u") != F.col("v")).distinct()
 
 
-def _is_star(links: DataFrame) -> bool:
-    """Every node is either linked to exactly one node or is one that others are linked to."""
-    roles = links.select(F.explode(F.array(
-        F.struct(F.col("u").alias("id"), F.lit(1).alias("child"), F.lit(0).alias("root")),
-        F.struct(F.col("v").alias("id"), F.lit(0).alias("child"), F.lit(1).alias("root")),
-    )).alias("r")).select("r.*")
-    per_id = roles.groupBy("id").agg(F.sum("child").alias("child"), F.max("root").alias("root"))
-    return per_id.filter(F.col("child") + F.col("root") > 1).isEmpty()
-
-
 def weak_components(nodes: DataFrame, edges: DataFrame, hot_rows: int | None = None) -> DataFrame:
-    """``id, component``: the smallest id of the component, for every node."""
+    """``id, component``: the smallest id of the component, for every node.
+
+    The links are stars once no node with a smaller neighbor has a second link; this is read off
+    the smallest neighbors that the next step needs anyway.
+    """
     apart = edges.filter(F.col("src") != F.col("dst"))
     links = cut_lineage(
         apart.select(F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct()
     )
-    while not _is_star(links):
-        links = cut_lineage(_small_star(cut_lineage(_large_star(links, hot_rows)), hot_rows))
+    while True:
+        both = _mirrored(links)
+        low = _smallest(both)
+        if low.filter((F.col("low") < F.col("u")) & (F.col("fan") > 1)).isEmpty():
+            break
+        links = cut_lineage(_small_star(cut_lineage(_large_star(both, low, hot_rows)), hot_rows))
     return nodes.join(links, F.col("id") == F.col("u"), "left").select(
         "id", F.coalesce("v", "id").alias("component")
     )

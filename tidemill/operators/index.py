@@ -37,12 +37,12 @@ def posting_lists(postings: DataFrame, block_bits: int = BLOCK_BITS, hot_rows: i
     The block of a document is ``doc_id >> block_bits`` for every term; blocks in order give
     the whole list. ``postings`` is read twice and should be stored.
     """
-    lists = postings.groupBy("term", F.shiftright("doc_id", block_bits).alias("block")).agg(
+    # The frequency joins the flat rows, whose number says how hot a term is; no list is moved for it.
+    sized = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    joined = attach(postings, sized, ["term"], ["doc_id"], "df", hot_rows=hot_rows)
+    return joined.groupBy("term", F.shiftright("doc_id", block_bits).alias("block"), "df").agg(
         F.sort_array(F.collect_list(F.struct("doc_id", "tf"))).alias("postings")
-    )
-    sized = lists.groupBy("term").agg(F.sum(F.size("postings")).alias("df"), F.count(F.lit(1)).alias("fan"))
-    joined = attach(lists, sized, ["term"], ["block"], "fan", hot_rows=hot_rows)
-    return joined.select("term", "block", "df", "postings")
+    ).select("term", "block", "df", "postings")
 
 
 def flat_postings(lists: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from tidemill.operators.counts import unnested
 from tidemill.runtime import attach, cut_lineage, is_small, keep_partitioned, shuffle_partitions
 
 DELTA = 0.002
-SHARDS = 4
+SHARDS = 256
 # Models whose weights of a feature stand in one row, about.
 MODELS_PER_BLOCK = 1_000
 
@@ -37,6 +37,7 @@ def _weighted(instances: DataFrame, model: DataFrame, hot_rows: int | None) -> D
     occurrences = instances.select("doc_id", "label", F.explode_outer("features").alias("feature"))
     packed = model.groupBy("feature").agg(F.map_from_entries(F.collect_list(F.struct("model_id", "weight"))).alias("weights"))
     if hot_rows is None and is_small(model):
+        # At most SMALL_ROWS entries in all maps together.
         return occurrences.join(F.broadcast(packed), "feature", "left")
     fan = occurrences.groupBy("feature").agg(F.count(F.lit(1)).alias("fan"))
     return attach(occurrences, fan.join(packed, "feature"), ["feature"], ["doc_id"], "fan", how="left", hot_rows=hot_rows)
@@ -66,11 +67,9 @@ def classify(instances: DataFrame, model: DataFrame, hot_rows: int | None = None
     return score(instances, model, hot_rows).withColumn("prediction", predicted(F.col("score")))
 
 
-def _model_scores(instances: DataFrame, models: DataFrame, size: int, hot_rows: int | None) -> DataFrame:
+def _model_scores(counted: DataFrame, models: DataFrame, size: int, hot_rows: int | None) -> DataFrame:
     """``doc_id, label, model_id, copies, score``: a row per model that knows a feature of a document."""
     key = ["doc_id", "label"]
-    occurrences = instances.select(*key, F.explode("features").alias("feature"))
-    counted = occurrences.groupBy(*key, "feature").agg(F.count(F.lit(1)).alias("k"))
     if hot_rows is None and is_small(models):
         weighted = counted.join(F.broadcast(models), "feature")
     else:
@@ -98,6 +97,10 @@ def ensemble(
     ``model_ids`` lists the ensemble, or is a table ``model_id`` of any length. A model that
     knows no feature of a document scores 0 there, which is a vote for ham. An ensemble without
     models says nothing about any document.
+
+    Models that are absent add nothing to a mean, so the weights of all models are summed per feature
+    first and applied like one model. Votes need a score per model; a document without features
+    has one empty occurrence, and so stays with no votes for spam.
     """
     if method not in ("average", "vote"):
         raise ValueError(f"neither average nor vote: {method!r}")
@@ -107,16 +110,18 @@ def ensemble(
     members = model_ids.groupBy("model_id").agg(F.count(F.lit(1)).alias("copies"))
     size = model_ids.count()
     known = models.join(members, "model_id")
-    each = _model_scores(instances, known, size, hot_rows).select(
-        "doc_id", "label", (F.col("copies") * F.col("score")).alias("total"),
-        F.when(F.col("score") > 0, F.col("copies")).otherwise(0).alias("ayes"),
-    )
-    # The models that a document does not meet are zeros; a document may meet none.
-    zero = instances.select("doc_id", "label", F.lit(0.0).alias("total"), F.lit(0).cast("bigint").alias("ayes"))
-    rows = zero.filter(F.lit(size > 0)).unionByName(each)
-    summed = rows.groupBy("doc_id", "label").agg(F.sum("total").alias("total"), F.sum("ayes").alias("ayes"))
-    score = F.col("total") / size if method == "average" else (2 * F.col("ayes") - size).cast("double")
-    return summed.select("doc_id", "label", score.alias("score")).withColumn("prediction", predicted(F.col("score")))
+    if method == "average":
+        together = known.groupBy("feature").agg(F.sum(F.col("copies") * F.col("weight")).alias("weight"))
+        mean = score(instances, together, hot_rows).filter(F.lit(size > 0)).withColumn("score", F.col("score") / size)
+        return mean.withColumn("prediction", predicted(F.col("score")))
+    key = ["doc_id", "label"]
+    occurrences = instances.select(*key, F.explode_outer("features").alias("feature"))
+    counted = occurrences.groupBy(*key, "feature").agg(F.count(F.lit(1)).alias("k")).filter(F.lit(size > 0))
+    each = _model_scores(counted.filter(F.col("feature").isNotNull()), known, size, hot_rows)
+    ayes = each.select(*key, F.when(F.col("score") > 0, F.col("copies")).otherwise(0).alias("ayes"))
+    rows = ayes.unionByName(counted.select(*key, F.lit(0).cast("bigint").alias("ayes")))
+    voted = rows.groupBy(*key).agg((2 * F.sum("ayes") - size).cast("double").alias("score"))
+    return voted.withColumn("prediction", predicted(F.col("score")))
 
 
 _WEIGHTS = ["model_id", "shard", "feature", "weight"]
@@ -176,7 +181,10 @@ def train_online(instances: DataFrame, seq: Column, delta: float = DELTA, shards
         "features",
     )
     kind = instances.schema["model_id"].dataType.simpleString()
-    together = sharded.repartition(shuffle_partitions(sharded), "model_id", "shard")
+    # Dealt by number: no two shards of a model share a partition while others are empty.
+    parts = shuffle_partitions(sharded)
+    place = F.pmod(F.col("shard") + F.crc32(F.col("model_id").cast("string").cast("binary")), F.lit(parts)).cast("int")
+    together = sharded.repartitionById(parts, place)
     trained = together.sortWithinPartitions("model_id", "shard", "seq", "doc_id").mapInPandas(
         _one_pass(delta), f"model_id {kind}, shard int, feature int, weight double"
     )

@@ -2,22 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 STRIPE_BLOCKS = 16
+# Entries of one map at most, whatever the size of the key.
+MAP_ENTRIES = 10_000
 
 
-def stripes(rows: DataFrame, key: str, other: str, value: str, blocks: int = STRIPE_BLOCKS) -> DataFrame:
-    """``key, block, stripe``: other -> value, sorted, in up to ``blocks`` maps per key.
+def stripes(
+    rows: DataFrame, key: str, other: str, value: str, blocks: int = STRIPE_BLOCKS, entries: int = MAP_ENTRIES
+) -> DataFrame:
+    """``key, block, part, stripe``: other -> value, sorted, in maps of at most ``entries``.
 
-    The block of an entry is ``pmod(xxhash64(other), blocks)`` at every size, so no task ever
-    holds all entries of a large key. ``blocks`` is the caller's choice: 1 gives whole stripes.
+    The block of an entry is ``pmod(xxhash64(other), blocks)`` at every size; it spreads a
+    large key over tasks. Inside a block the entries are sorted once and cut into parts, so a
+    task never gathers more than one map.
     """
-    return (
-        rows.withColumn("block", F.pmod(F.xxhash64(other), F.lit(blocks)).cast("int"))
-        .groupBy(key, "block")
-        .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct(other, value)))).alias("stripe"))
+    placed = rows.withColumn("block", F.pmod(F.xxhash64(other), F.lit(blocks)).cast("int"))
+    number = F.row_number().over(Window.partitionBy(key, "block").orderBy(other))
+    cut = placed.withColumn("part", F.floor((number - 1) / entries).cast("int"))
+    return cut.groupBy(key, "block", "part").agg(
+        F.map_from_entries(F.sort_array(F.collect_list(F.struct(other, value)))).alias("stripe")
     )
 
 
