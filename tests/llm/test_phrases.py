@@ -87,7 +87,7 @@ def sorted_set(rng, words, n):
         size = rng.randrange(1, 4)
         found[tuple(rng.randrange(1, words + 1) for _ in range(size)) + (0,) * (3 - size)] = rng.choice([1, 1, 1, 2, 300, 70_000])
     keys = sorted(found)
-    return np.array(keys, np.int64).reshape(-1, 3), np.array([found[k] for k in keys], np.int64)
+    return np.array(keys, np.int64).reshape(-1, 3).T, np.array([found[k] for k in keys], np.int64)
 
 
 @pytest.mark.parametrize("seed", range(20))
@@ -99,10 +99,10 @@ def test_automata_keep_lookup_and_unite_counts(seed):
         rows, counts = sorted_set(rng, 12, rng.choice([0, 1, 5, 200]))
         a = automata.CountAutomaton.build(words, rows, counts)
         a = automata.CountAutomaton.unpacked(*a.packed())
-        spelled = [[words[s - 1] for s in row if s] for row in rows.tolist()]
+        spelled = [[words[s - 1] for s in row if s] for row in rows.T.tolist()]
         assert a.counts_of(spelled).tolist() == counts.tolist()
         again, weights = a.phrases()
-        assert [[a.words[s - 1] for s in row if s] for row in again.tolist()] == spelled and weights.tolist() == counts.tolist()
+        assert [[a.words[s - 1] for s in row if s] for row in again.T.tolist()] == spelled and weights.tolist() == counts.tolist()
         for p, c in zip(spelled, counts.tolist()):
             total[tuple(p)] += c
         parts.append(a)
@@ -110,15 +110,15 @@ def test_automata_keep_lookup_and_unite_counts(seed):
     every = [[w] for w in words] + [[v, w] for v in words for w in words] + [[b"none"], [b"w00", b"none"]]
     assert both.counts_of(every).tolist() == [total[tuple(p)] if total[tuple(p)] >= 2 else 0 for p in every]
     rows, counts = both.phrases()
-    assert {tuple(both.words[s - 1] for s in row if s): c for row, c in zip(rows.tolist(), counts.tolist())} == {p: c for p, c in total.items() if c >= 2}
+    assert {tuple(both.words[s - 1] for s in row if s): c for row, c in zip(rows.T.tolist(), counts.tolist())} == {p: c for p, c in total.items() if c >= 2}
 
 
 def test_single_continuations_are_shared():
-    rows = np.array([[a, b, 1] for a in range(1, 9) for b in range(1, 9)], np.int64)
-    a = automata.CountAutomaton.build([b"w%d" % i for i in range(8)], rows, np.ones(len(rows), np.int64))
+    rows = np.array([[a, b, 1] for a in range(1, 9) for b in range(1, 9)], np.int64).T
+    a = automata.CountAutomaton.build([b"w%d" % i for i in range(8)], rows, np.ones(rows.shape[1], np.int64))
     assert len(a.first) - 1 == 2 + 8 + 1
 
 
 def test_wide_numbers_sort_too(monkeypatch):
     rows, counts = sorted_set(random.Random(1), 30, 100)
-    assert all((x == y).all() for x, y in zip(automata.summed(rows[::-1], counts[::-1], 1 << 30), (rows, counts)))
+    assert all((x == y).all() for x, y in zip(automata.summed(rows[:, ::-1], counts[::-1], 1 << 30), (rows, counts)))

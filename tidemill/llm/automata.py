@@ -5,6 +5,9 @@ count; weight 0 marks a prefix that is not counted here. Phrases come sorted, so
 transitions of a state are neighbors. States without transitions are one state, and states
 with a single transition of the same word and weight are one state too, which is where most of
 the sharing lies: most pairs of words have one continuation.
+
+A set of phrases is an array of ORDER rows, one column per phrase: the numbers of its words,
+from 1, and 0 where it has ended.
 """
 
 from __future__ import annotations
@@ -21,22 +24,40 @@ def narrow(x: np.ndarray) -> bytes:
 
 
 def widen(data: bytes, count: int) -> np.ndarray:
-    return np.frombuffer(data, f"u{len(data) // count if count else 1}").astype(np.int64)
+    found = np.frombuffer(data, f"u{len(data) // count if count else 1}")
+    return found.astype(np.int32 if found.itemsize < 4 else np.int64)
+
 
+def _firsts(new: np.ndarray, n: int) -> np.ndarray:
+    return np.concatenate([[0], np.flatnonzero(new) + 1]) if n else np.empty(0, np.int64)
 
-def summed(phrases: np.ndarray, counts: np.ndarray, symbols: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct rows of ``phrases`` (one column per word, 0 where there is none) and their summed counts."""
-    bits = max(1, symbols.bit_length())
+
+def summed(phrases: np.ndarray, counts: np.ndarray | None, symbols: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct phrases and their summed counts; without ``counts`` each is one."""
+    n, bits = phrases.shape[1], max(1, symbols.bit_length())
     if ORDER * bits < 64:
-        key = (phrases[:, 0] << (2 * bits)) | (phrases[:, 1] << bits) | phrases[:, 2]
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        new = key[1:] != key[:-1]
+        # Three numbers of at most 21 bits sort as one.
+        key = phrases[0].astype(np.int64)
+        for row in phrases[1:]:
+            key <<= bits
+            key |= row
+        if counts is None:
+            key.sort()
+        else:
+            order = np.argsort(key)
+            key, counts = key[order], counts[order]
+            del order
+        first = _firsts(key[1:] != key[:-1], n)
+        key = key[first]
+        phrases = np.stack([(key >> (bits * (ORDER - 1 - k))) & ((1 << bits) - 1) for k in range(ORDER)]).astype(np.int32)
     else:
-        order = np.lexsort(phrases.T[::-1])
-        new = (phrases[order[1:]] != phrases[order[:-1]]).any(axis=1)
-    first = np.concatenate([[0], np.flatnonzero(new) + 1]) if len(order) else np.empty(0, np.int64)
-    return phrases[order[first]], np.add.reduceat(counts[order], first) if len(first) else counts[:0]
+        order = np.lexsort(phrases[::-1])
+        phrases, counts = phrases[:, order], None if counts is None else counts[order]
+        first = _firsts((phrases[:, 1:] != phrases[:, :-1]).any(axis=0), n)
+        phrases = phrases[:, first]
+    if counts is None:
+        return phrases, np.diff(first, append=n)
+    return phrases, np.add.reduceat(counts, first) if n else counts
 
 
 class CountAutomaton:
@@ -48,16 +69,17 @@ class CountAutomaton:
     @classmethod
     def build(cls, words: list[bytes], phrases: np.ndarray, counts: np.ndarray) -> CountAutomaton:
         """From sorted distinct phrases over ``words``; words that no phrase has are left out."""
+        if not phrases.shape[1]:
+            return cls([], np.zeros(3, np.int64), *(np.empty(0, np.int64),) * 3)
         used = np.zeros(len(words) + 1, bool)
         used[phrases] = True
         used[0] = False
         names = np.cumsum(used)
         names[~used] = 0
-        phrases = names[phrases]
+        c0, c1, c2 = names.astype(np.int32)[phrases]
         words = [words[i] for i in (np.flatnonzero(used) - 1).tolist()]
 
-        c0, c1, c2 = phrases.T
-        one = np.ones(len(phrases), bool)
+        one = np.ones(len(c0), bool)
         one[1:] = c0[1:] != c0[:-1]
         two = one.copy()
         two[1:] |= c1[1:] != c1[:-1]
@@ -66,29 +88,31 @@ class CountAutomaton:
         n1, n2 = int(one.sum()), int(two.sum())
         of1, of2 = np.cumsum(one) - 1, np.cumsum(two) - 1
         weight1, weight2 = np.zeros(n1, np.int64), np.zeros(n2, np.int64)
-        weight1[of1[c1 == 0]] = counts[c1 == 0]
-        pairs = (c1 > 0) & (c2 == 0)
+        lone = c1 == 0
+        weight1[of1[lone]] = counts[lone]
+        pairs = ~lone & ~three
         weight2[of2[pairs]] = counts[pairs]
         degree1, degree2 = np.bincount(of1[two], minlength=n1), np.bincount(of2[three], minlength=n2)
 
         # Continuations of pairs: single ones are shared, the others are states of their own.
         symbol3, weight3 = c2[three], counts[three]
         single = np.repeat(degree2 == 1, degree2)
-        shared, name = np.unique(np.stack([symbol3[single], weight3[single]], 1), axis=0, return_inverse=True) if single.any() else (np.empty((0, 2), np.int64), [])
-        states1 = 2 + np.cumsum(degree1 > 0) - 1
-        after1 = 2 + int((degree1 > 0).sum())
-        target2 = np.full(n2, _FINAL)
-        target2[degree2 == 1] = after1 + np.asarray(name, np.int64).ravel()
-        target2[degree2 > 1] = after1 + len(shared) + np.arange(int((degree2 > 1).sum()))
-        degrees = np.concatenate([[n1, 0], degree1[degree1 > 0], np.ones(len(shared), np.int64), degree2[degree2 > 1]])
-        many = n1 + n2
+        many = len(words) + 1
+        shared, name = np.unique(weight3[single].astype(np.int64) * many + symbol3[single], return_inverse=True)
+        own1, own2 = degree1 > 0, degree2 > 1
+        target1, target2 = np.full(n1, _FINAL), np.full(n2, _FINAL)
+        after = 2 + int(own1.sum())
+        target1[own1] = np.arange(2, after)
+        target2[degree2 == 1] = after + name
+        target2[own2] = after + len(shared) + np.arange(int(own2.sum()))
+        degrees = np.concatenate([[n1, 0], degree1[own1], np.ones(len(shared), np.int64), degree2[own2]])
         return cls(
             words,
-            np.concatenate([[0], np.cumsum(degrees)]).astype(np.int64),
-            np.concatenate([c0[one], c1[two], shared[:, 0], symbol3[~single]]),
-            np.concatenate([weight1, weight2, shared[:, 1], weight3[~single]]),
-            np.concatenate([np.where(degree1 > 0, states1, _FINAL), target2, np.full(len(shared) + int((~single).sum()), _FINAL)]),
-        ) if many else cls([], np.zeros(3, np.int64), *(np.empty(0, np.int64),) * 3)
+            np.concatenate([[0], np.cumsum(degrees)]),
+            np.concatenate([c0[one], c1[two], shared % many, symbol3[~single]]),
+            np.concatenate([weight1, weight2, shared // many, weight3[~single]]),
+            np.concatenate([target1, target2, np.full(len(shared) + int((~single).sum()), _FINAL)]),
+        )
 
     def packed(self) -> tuple[bytes, int, int, bytes, bytes, bytes, bytes]:
         degrees = np.diff(self.first)
@@ -99,37 +123,41 @@ class CountAutomaton:
         first = np.concatenate([[0], np.cumsum(widen(degrees, states))])
         return cls(words.split(b"\n") if words else [], first, *(widen(x, transitions) for x in (symbol, weight, target)))
 
-    def phrases(self) -> tuple[np.ndarray, np.ndarray]:
-        """All counted phrases in order, and their counts."""
-        rows = [(np.zeros((1, ORDER), np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64))]
-        found = []
+    def paths(self) -> tuple[np.ndarray, np.ndarray]:
+        """All counted phrases, the shorter ones first, and their counts."""
+        prefix, state, found = np.zeros((ORDER, 1), np.int32), np.zeros(1, np.int64), []
         for level in range(ORDER):
-            prefix, _, state = rows[-1]
             degree = self.first[state + 1] - self.first[state]
-            at = np.repeat(self.first[state] - np.concatenate([[0], np.cumsum(degree)[:-1]]), degree) + np.arange(degree.sum())
-            longer = np.repeat(prefix, degree, axis=0)
-            longer[:, level] = self.symbol[at]
-            rows.append((longer, self.weight[at], self.target[at]))
-            found.append((longer, self.weight[at]))
-        phrases, counts = (np.concatenate(x) for x in zip(*found))
-        counted = counts > 0
-        return summed(phrases[counted], counts[counted], len(self.words))
+            stop = np.cumsum(degree)
+            at = np.repeat(self.first[state] - (stop - degree), degree) + np.arange(stop[-1] if len(stop) else 0)
+            prefix = np.repeat(prefix, degree, axis=1)
+            prefix[level] = self.symbol[at]
+            state, counts = self.target[at], self.weight[at]
+            counted = counts > 0
+            found.append((prefix[:, counted], counts[counted]))
+        return np.concatenate([f[0] for f in found], axis=1), np.concatenate([f[1] for f in found])
+
+    def phrases(self) -> tuple[np.ndarray, np.ndarray]:
+        """All counted phrases in order, and their counts."""
+        return summed(*self.paths(), len(self.words))
 
     def counts_of(self, phrases: list[list[bytes]]) -> np.ndarray:
         """The automaton composed with each phrase: its count, 0 where there is no path."""
+        count = np.zeros(len(phrases), np.int64)
+        if not len(self.symbol):
+            return count
         number = {w: i for i, w in enumerate(self.words, 1)}
         symbols = np.array([[number.get(w, -1) for w in p] + [0] * (ORDER - len(p)) for p in phrases], np.int64).reshape(-1, ORDER)
         base = len(self.words) + 1
         key = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first)) * base + self.symbol
-        state, count = np.zeros(len(symbols), np.int64), np.zeros(len(symbols), np.int64)
-        alive = np.ones(len(symbols), bool)
+        state, alive = np.zeros(len(symbols), np.int64), np.ones(len(symbols), bool)
         for level in range(ORDER):
             going = symbols[:, level] != 0
             wanted = state * base + symbols[:, level]
-            at = np.minimum(np.searchsorted(key, wanted), max(0, len(key) - 1))
-            met = alive & going & (symbols[:, level] > 0) & (key[at] == wanted) if len(key) else np.zeros(len(symbols), bool)
-            count = np.where(going, np.where(met, self.weight[at] if len(key) else 0, 0), count)
-            state = np.where(met, self.target[at] if len(key) else 0, state)
+            at = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+            met = alive & (symbols[:, level] > 0) & (key[at] == wanted)
+            count = np.where(going, np.where(met, self.weight[at], 0), count)
+            state = np.where(met, self.target[at], state)
             alive &= met | ~going
         return count
 
@@ -138,9 +166,13 @@ def union(automata: list[CountAutomaton], least: int = 1) -> CountAutomaton:
     """The automaton of all phrases with summed counts of at least ``least``."""
     words = sorted(set().union(*(a.words for a in automata)))
     number = {w: i for i, w in enumerate(words, 1)}
-    parts = []
-    for a in automata:
-        phrases, counts = a.phrases()
-        parts.append((np.array([0, *(number[w] for w in a.words)], np.int64)[phrases], counts))
-    phrases, counts = summed(*(np.concatenate(x) for x in zip(*parts)), len(words))
-    return CountAutomaton.build(words, phrases[counts >= least], counts[counts >= least])
+    parts = [a.paths() for a in automata]
+    ends = np.cumsum([0, *(len(counts) for _, counts in parts)]).tolist()
+    phrases, counts = np.empty((ORDER, ends[-1]), np.int32), np.empty(ends[-1], np.int64)
+    for a, b, e in zip(automata, ends, ends[1:]):
+        own, counts[b:e] = parts.pop(0)
+        phrases[:, b:e] = np.fromiter((0, *map(number.__getitem__, a.words)), np.int32, len(a.words) + 1)[own]
+    del number
+    phrases, counts = summed(phrases, counts, len(words))
+    kept = counts >= least
+    return CountAutomaton.build(words, phrases[:, kept], counts[kept])

@@ -36,6 +36,7 @@ SLICE_WORDS = 1 << 21
 HELD_TRANSITIONS = 1 << 21
 # Texts and phrases of each from which the borders of the ranges are taken.
 SAMPLE_TEXTS, SAMPLE_PLACES = 1_000, 200
+RANGES_PER_PARTITION = 2
 RANK_SALTS = 64
 
 # Lower case leaves no A, so it can stand for the end of a piece.
@@ -76,26 +77,25 @@ def ngrams(names: _Names, numbers: np.ndarray) -> tuple[list[bytes], np.ndarray,
     order = sorted(range(len(listed)), key=listed.__getitem__)
     rank = np.zeros(len(listed) + 1, np.int64)
     rank[np.array(order, np.int64) + 1] = np.arange(1, len(listed) + 1)
-    x = rank[numbers]
-    rows, alive = [], np.ones(len(x), bool)
+    x = rank.astype(np.int32)[numbers]
+    alive, rows = x > 0, []
     for size in range(1, ORDER + 1):
-        alive = alive[: len(x) - size + 1] & (x[size - 1 :] > 0)
+        alive = alive[: len(x) - size + 1] & (x[size - 1 :] > 0) if len(x) >= size else alive[:0]
         at = np.flatnonzero(alive)
-        row = np.zeros((len(at), ORDER), np.int64)
+        row = np.zeros((ORDER, len(at)), np.int32)
         for k in range(size):
-            row[:, k] = x[at + k]
+            row[k] = x[at + k]
         rows.append(row)
-    rows = np.concatenate(rows)
-    return [listed[i] for i in order], *summed(rows, np.ones(len(rows), np.int64), len(listed))
+    return [listed[i] for i in order], *summed(np.concatenate(rows, axis=1), None, len(listed))
 
 
 def _border(words: list[bytes], phrases: np.ndarray, border: Phrase) -> int:
     """Number of phrases before the border."""
-    low, high = 0, len(phrases)
+    low, high = 0, phrases.shape[1]
     for level, word in enumerate(border):
         at = bisect_left(words, word)
         met = at < len(words) and words[at] == word
-        column = phrases[low:high, level]
+        column = phrases[level, low:high]
         below = low + int(np.searchsorted(column, at + 1, "left"))
         if not met:
             return below
@@ -114,12 +114,12 @@ def _counted(borders, slice_words: int):
     def flushed(langs):
         for lang, (names, parts) in langs.items():
             words, phrases, counts = ngrams(names, np.concatenate(parts))
-            ends = [0, *(_border(words, phrases, b) for b in borders.value), len(phrases)]
+            ends = [0, *(_border(words, phrases, b) for b in borders.value), len(counts)]
             rows = []
             for number, (b, e) in enumerate(zip(ends, ends[1:])):
                 if b < e:
-                    single = phrases[b:e, 1] == 0
-                    automaton = CountAutomaton.build(words, phrases[b:e], counts[b:e])
+                    single = phrases[1, b:e] == 0
+                    automaton = CountAutomaton.build(words, phrases[:, b:e], counts[b:e])
                     rows.append((number, lang, int(counts[b:e][single].sum()), *automaton.packed()))
             for b in range(0, len(rows), 64):
                 yield _rows(rows[b : b + 64])
@@ -198,10 +198,10 @@ def _cuts(batches):
     for batch in batches:
         for lang, automaton in zip(batch.column("lang").to_pylist(), _automata(batch)):
             phrases, counts = automaton.phrases()
-            longer = phrases[:, 1] > 0
+            longer = phrases[1] > 0
             names = ["", *(w.decode() for w in automaton.words)]
             out = []
-            for symbols, a in zip(phrases[longer].tolist(), counts[longer].tolist()):
+            for symbols, a in zip(phrases[:, longer].T.tolist(), counts[longer].tolist()):
                 own = [names[s] for s in symbols if s]
                 out += [(lang, " ".join(own), len(own), a, k, " ".join(own[:k]), " ".join(own[k:])) for k in range(1, len(own))]
             for b in range(0, len(out), 10_000):
@@ -253,7 +253,7 @@ def collocations(docs: DataFrame, least: int = LEAST, per_lang: int = PER_LANG,
     ``text`` and ``lang`` are not read. An empty table gives an empty result.
     """
     spark = docs.sparkSession
-    borders = spark.sparkContext.broadcast(_borders(docs.select(F.col("text").cast("string").alias("text")), shuffle_partitions(docs)))
+    borders = spark.sparkContext.broadcast(_borders(docs.select(F.col("text").cast("string").alias("text")), RANGES_PER_PARTITION * shuffle_partitions(docs)))
     automata = stored(count_automata(docs, borders, least, slice_words), "count-automata")
     cuts = stored(automata.select("lang", *[n for n, _ in _PACKED]).mapInArrow(_cuts, _CUTS_SPARK), "phrase-cuts")
     parts = cuts.select("lang", F.explode(F.array("head", "rest")).alias("part")).distinct()
