@@ -79,3 +79,30 @@ def test_equal_share():
         cap = langid._equal_share(sizes, room)
         assert sum(min(s, cap) + 1 for s in sizes) <= room
         assert not sizes or cap >= max(sizes) or sum(min(s, cap + 1) + 1 for s in sizes) > room
+
+
+def test_predictions_against_plain_compression(spark, labelled):
+    """Every text under every dictionary, one after the other, in plain Python."""
+    import zstandard
+
+    model = langid.learn(labelled, 20, 8192)
+    rng = random.Random(17)
+    rows = [(i, text(rng.choice(list(SYLLABLES)), rng, rng.randrange(1, 700)) + rng.choice(["", " 12", "\n\nÉ", "\tX"])) for i in range(80)]
+    rows += [(100, None), (101, ""), (102, " 12 ... 34 "), (103, "a"), (104, "A " * 5000), (105, " ".join(text(k, rng, 30) for k in SYLLABLES))]
+    got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), model).collect()}
+    for doc_id, own in rows:
+        row = got[doc_id]
+        if own is None or not any(c.isalpha() for c in own):
+            assert (row.lang_pred, row.score, row.rejected) == ("und", 0.0, True)
+            continue
+        folded = " ".join(own.lower().split()).encode()
+        sizes = []
+        for lang in sorted(model):
+            total = 0
+            for begin in range(0, len(folded), langid.PIECE):
+                dictionary = zstandard.ZstdCompressionDict(model[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+                press = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=dictionary, write_content_size=False, write_checksum=False, write_dict_id=False)
+                total += len(press.compress(folded[begin : begin + langid.PIECE] + langid.PAD))
+            sizes.append((total, lang))
+        best, second = sorted(sizes)[:2]
+        assert row.lang_pred == best[1] and row.score == 1 - best[0] / second[0] and row.rejected == (row.score < langid.MARGIN)
