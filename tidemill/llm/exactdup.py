@@ -4,7 +4,9 @@ Equal texts meet in three steps: inside a partition, inside one salt of a digest
 the salt winners of a digest. Every step sorts its rows by digest and full content and compares
 neighbors byte by byte, so a digest only brings rows together. The winner of a run of equal
 rows is the row with the largest id; it alone goes on. A text that fills a third of the table
-therefore reaches a later step at most once per partition, then at most once per salt.
+therefore reaches a later step at most once per partition, then at most once per salt. Between
+the first two steps digests are counted: content whose digest only one partition has is alone
+and takes no further step.
 
 Rows travel with their content compressed. The compressor is deterministic and lossless, so
 two compressed contents are equal exactly when the texts are.
@@ -121,15 +123,23 @@ def exact_duplicates(docs: DataFrame, salts: int = SALTS, local_bytes: int = LOC
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     local = stored(rows.mapInArrow(_local(local_bytes), _spark_schema(_LOCAL)), "copies-local")
     going = local.filter(F.col("uid") == F.col("winner"))
+    # Content whose digest no other local winner has meets nothing; it stays where it is.
+    shared = going.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Stored, so that both sides of the join come straight from a shuffle and a hot digest can be
+    # split. Merged, so that it is the same join at every size.
+    shared = stored(shared.select("digest"), "shared-digests").hint("merge")
+    contested = going.join(shared, "digest", "left_semi")
     salt = F.pmod(F.xxhash64("uid"), F.lit(salts))
-    salted = stored(_combine(going, F.col("digest"), salt), "copies-salted")
+    salted = stored(_combine(contested, F.col("digest"), salt), "copies-salted")
     final = stored(_combine(salted.filter(F.col("uid") == F.col("winner")), F.col("digest")).drop("body"), "copies-final")
     # Winner of each row: local winner, then salt winner, then overall winner.
+    sha = F.lower(F.hex("digest")).alias("text_sha256")
     named = final.join(
-        final.filter(F.col("uid") == F.col("winner")).select(F.col("winner"), F.col("top").alias("keep_id"), F.lower(F.hex("digest")).alias("text_sha256")),
-        "winner",
+        final.filter(F.col("uid") == F.col("winner")).select(F.col("winner"), F.col("top").alias("keep_id"), sha), "winner"
     ).select(F.col("uid").alias("salt_winner"), F.col("winner").alias("keeper"), "keep_id", "text_sha256")
-    middle = salted.select(F.col("uid").alias("local_winner"), F.col("winner").alias("salt_winner")).join(named, "salt_winner")
+    middle = salted.select(F.col("uid").alias("local_winner"), F.col("winner").alias("salt_winner")).join(named, "salt_winner").drop("salt_winner")
+    alone = going.select("uid", "top", "digest").join(shared, "digest", "left_anti")
+    middle = middle.unionByName(alone.select(F.col("uid").alias("local_winner"), F.col("uid").alias("keeper"), F.col("top").alias("keep_id"), sha))
     members = local.groupBy(F.col("winner").alias("local_winner")).agg(F.count(F.lit(1)).alias("n"))
     counted = middle.join(members, "local_winner")
     sizes = counted.groupBy("keeper").agg(F.sum("n").alias("group_size"))
