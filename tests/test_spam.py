@@ -200,3 +200,14 @@ def test_files(spark, rows, model, tmp_path):
     for _ in range(2):  # the second write replaces the first
         write_text(model.select(F.format_string("(%d,%s)", "feature", F.col("weight").cast("string")).alias("value")), path)
     assert rows(read_model(spark, path, "x")) == rows(model)
+
+
+def test_models_as_text_round_trip(spark, rows, tmp_path):
+    from tidemill.sources.sinks import write_models
+    from tidemill.sources.text import read_models
+
+    models = [("en", 1, 0.1), ("en", 2, -1e-300), ("a/b =c", 3, 1 / 3), ("7", 2**31 - 1, 5e300), (None, 4, 0.0)]
+    df = spark.createDataFrame(models, "model_id string, feature int, weight double")
+    for _ in range(2):  # the second write replaces the first
+        write_models(df, str(tmp_path / "m"))
+    assert sorted(rows(read_models(spark, str(tmp_path / "m"))), key=repr) == sorted(models, key=repr)

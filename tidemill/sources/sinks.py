@@ -18,6 +18,12 @@ def write_text(df: DataFrame, path: str, sep: str = "\t", null: str = "") -> Non
     df.select(F.concat_ws(sep, *fields).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_models(models: DataFrame, path: str) -> None:
+    """Rows ``model_id, feature, weight`` as text, a folder per model, ``(feature,weight)`` a line."""
+    line = F.format_string("(%d,%s)", "feature", F.col("weight").cast("string")).alias("value")
+    models.select("model_id", line).write.mode("overwrite").partitionBy("model_id").text(path)
+
+
 def write_table(df: DataFrame, path: str) -> DataFrame:
     """Keep an intermediate result as Parquet and return it read back."""
     df.write.mode("overwrite").parquet(path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import LINE_BREAK
@@ -64,15 +64,26 @@ def read_instances(spark: SparkSession, path: str) -> DataFrame:
     return parse_instances(spark.read.text(path))
 
 
-def parse_model(raw: DataFrame, value: str = "value") -> DataFrame:
-    """``(feature,weight)`` lines as ``feature, weight``."""
+def parse_model_line(value: Column) -> Column:
+    """A ``(feature,weight)`` line as a struct."""
     form = r"\(([^,]+),([^)]+)\)"
-    return raw.select(
+    return F.struct(
         F.regexp_extract(value, form, 1).cast("int").alias("feature"),
         F.regexp_extract(value, form, 2).cast("double").alias("weight"),
     )
 
 
+def parse_model(raw: DataFrame, value: str = "value") -> DataFrame:
+    """``(feature,weight)`` lines as ``feature, weight``."""
+    return raw.select(parse_model_line(F.col(value)).alias("m")).select("m.feature", "m.weight")
+
+
 def read_model(spark: SparkSession, path: str, model_id: str) -> DataFrame:
     """One text model as rows ``model_id, feature, weight``."""
     return parse_model(spark.read.text(path)).select(F.lit(model_id).alias("model_id"), "feature", "weight")
+
+
+def read_models(spark: SparkSession, path: str) -> DataFrame:
+    """All models that ``write_models`` left below ``path``, as rows ``model_id, feature, weight``."""
+    raw = spark.read.schema("value string, model_id string").text(path)
+    return raw.select("model_id", parse_model_line(F.col("value")).alias("m")).select("model_id", "m.feature", "m.weight")
