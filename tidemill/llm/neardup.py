@@ -181,10 +181,13 @@ def near_duplicates(docs: DataFrame, keys_of=band_keys) -> DataFrame:
     heads = linkable.withColumnRenamed("doc_id", "id").join(classes, ["digest", "id"])
     banded = heads.select("id", "n", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.min("id").alias("a"), F.max("id").alias("last"))
-    shared = shared.filter(F.col("a") < F.col("last")).select("band", "a")
+    # Stored, here and below, so that both sides of the join come straight from a shuffle and a bucket
+    # of very many classes can be split.
+    shared = stored(shared.filter(F.col("a") < F.col("last")).select("band", "a"), "shared-bands")
     members = stored(banded.join(shared, "band"), "band-members")
 
-    wanted = members.select(F.col("id").alias("doc_id")).distinct()
+    # Merged, so that it is the same join at every size.
+    wanted = members.select(F.col("id").alias("doc_id")).distinct().hint("merge")
     chosen = rows.join(wanted, "doc_id", "left_semi")
     sets = stored(chosen.mapInArrow(_sets, "id bigint, n int, shingles array<bigint>, bits array<bigint>"), "shingle-sets")
 
@@ -215,7 +218,8 @@ def _between_groups(named: DataFrame, maps: DataFrame) -> DataFrame:
     per_band = counted.groupBy("band").agg(
         F.max_by("group", F.struct("size", "group")).alias("main"), F.count(F.lit(1)).alias("groups")
     )
-    mixed = named.join(per_band.filter(F.col("groups") > 1).select("band", "main"), "band").join(maps, "id")
+    mixed_bands = stored(per_band.filter(F.col("groups") > 1).select("band", "main"), "mixed-bands")
+    mixed = named.join(mixed_bands, "band").join(maps, "id")
     mixed = stored(mixed, "mixed-buckets")
     other = mixed.filter(F.col("group") != F.col("main")).select(
         "band", F.col("id").alias("x"), F.col("n").alias("n_x"), F.col("group").alias("group_x"), F.col("bits").alias("bits_x")
