@@ -94,3 +94,32 @@ def test_items_without_an_id(spark, table, prose):
     con.executemany("INSERT INTO benchmark VALUES (?, ?)", [tuple(r) for r in bench.collect()])
     sql = {r[0]: (r[2], r[3], r[4], r[5]) for r in con.execute(DECONTAMINATION).fetchall()}
     assert got == sql
+
+
+@pytest.mark.parametrize("block_words", [1, 12, 40, 100_000])
+@pytest.mark.parametrize("window", [3, 10])
+def test_items_in_blocks_equal_brute_force(spark, table, prose, block_words, window):
+    rng = random.Random(window)
+    letters = "abcde"
+    items = [(n, " ".join(rng.choices(letters, k=rng.choice([0, 1, 2, 9, 12, 30, 70])))) for n in range(12)]
+    bench = spark.createDataFrame([*items, (None, "z z z"), (None, None)], "item_id bigint, text string")
+    rows = [(i, " ".join(rng.choices(letters + "z", k=rng.randrange(40)))) for i in range(60)] + [(100, None), (101, ""), (None, items[-1][1])]
+    rows += [(200 + i, "own " + items[5][1] + " z z z") for i in range(20)]
+    found = decontam.find_contamination(table(*rows).repartition(3), bench, window, block_words).collect()
+    assert len(found) == len(rows)
+    texts = {}
+    for row in found:
+        n, hit, names = brute(row.text, [*items, (None, "z z z")], window)
+        named = names - {"None"}
+        assert (row.n_words, row.n_hit, row.n_items, row.contaminated) == (n, len(hit), len(names), bool(hit)) and row.score == "own"
+        assert row.items_sha256 == hashlib.sha256(",".join(sorted(named)).encode()).hexdigest()
+        texts.setdefault(row.text, set()).add(row.clean_text)
+    assert all(len(clean) == 1 for clean in texts.values())
+
+
+def test_blocks_hold_no_more_than_their_size(spark):
+    bench = spark.createDataFrame([(i, " ".join(f"w{i}x{k}" for k in range(n))) for i, n in enumerate([5, 100, 7, 0, 33])], "item_id int, text string")
+    blocks = list(decontam.item_blocks(bench, 4, 20))
+    assert len(blocks) > 5 and all(sum(len(own) for _, own in b) <= 20 for b in blocks)
+    grams = {(i, tuple(w.decode() for w in own[k : k + 4])) for b in blocks for i, own in b for k in range(len(own) - 3)}
+    assert grams == {(str(i), tuple(f"w{i}x{k + j}" for j in range(4))) for i, n in enumerate([5, 100, 7, 0, 33]) for k in range(n - 3)}

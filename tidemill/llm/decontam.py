@@ -20,13 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import others, small, utf8
+from tidemill.llm.shared import others, small, stored, utf8
 
 WINDOW = 10
 # A text with a larger share of hit words is dropped whole.
 MAX_COVERAGE = 0.5
-# Size bound of the broadcast: the test items are a stated query set, not a corpus.
-MAX_ITEM_WORDS = 4_000_000
+# Item words of one automaton: the size bound of what is built on the driver and broadcast,
+# some 1.2 KB a word while it is built. More items are taken in several blocks.
+BLOCK_WORDS = 100_000
 
 # Word characters are digits, letters and everything beyond ASCII; A-Z count as a-z.
 _TABLE = bytes(
@@ -161,21 +162,26 @@ class ItemAutomaton:
         return zip(begins[room].tolist(), ends[room].tolist())
 
 
-def item_automaton(benchmark: DataFrame, window: int = WINDOW) -> ItemAutomaton:
-    """The automaton of a table ``item_id, text``; texts without words are skipped.
+def item_blocks(benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS):
+    """The items of a table ``item_id, text`` in lists of at most ``block_words`` words each.
 
-    Items without an id take part like all others. It is built on the driver and sent to every
-    task. Test items of more than MAX_ITEM_WORDS words are an error; run such a set in several parts.
+    Texts without words are skipped; items without an id take part like all others. A longer
+    item is cut into segments that overlap by a window less one word, so no window is lost.
+    One list at a time is held.
     """
-    items, total = [], 0
+    block, total = [], 0
     rows = benchmark.select(F.col("item_id").cast("string").alias("item_id"), F.col("text").cast("string").alias("text"))
     for row in rows.filter(F.col("text").isNotNull()).distinct().orderBy("item_id", "text").toLocalIterator():
         own = words(row["text"].encode())
-        total += len(own)
-        if total > MAX_ITEM_WORDS:
-            raise ValueError(f"more than {MAX_ITEM_WORDS} words in the test items")
-        items.append((row["item_id"], own))
-    return ItemAutomaton(items, window)
+        step = max(1, block_words - window + 1)
+        for begin in range(0, max(1, len(own) - window + 1), step) if own else ():
+            segment = own[begin : begin + step + window - 1]
+            if block and total + len(segment) > block_words:
+                yield block
+                block, total = [], 0
+            block.append((row["item_id"], segment))
+            total += len(segment)
+    yield block
 
 
 _RESULT = [("n_words", "bigint"), ("n_hit", "bigint"), ("n_items", "bigint"), ("items_sha256", "string"), ("contaminated", "boolean"), ("clean_text", "string")]
@@ -204,13 +210,59 @@ def _without(text: bytes, mask: np.ndarray) -> bytes:
     return b"".join(out)
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+def _described(text: bytes, own: list[bytes], mask: np.ndarray, ids: set[str | None]) -> tuple:
+    """The columns of ``_RESULT``."""
+    n_hit, named = int(mask.sum()), sorted(ids - {None})
+    digest = hashlib.sha256(",".join(named).encode()).hexdigest()
+    clean = _without(text, mask).decode("utf-8", "replace") if n_hit else None
+    return len(own), n_hit, len(ids), digest, n_hit > 0, clean
+
+
+def _found_in(automaton: ItemAutomaton, text: bytes) -> tuple[list[bytes], np.ndarray, set[str | None]]:
+    own = words(text)
+    mask, numbers = automaton.scan(own)
+    return own, mask, {automaton.item_ids[i] for i in numbers}
+
+
+def _with_columns(batch: pa.RecordBatch, columns: list[str], rows: list[tuple], arrow: pa.Schema) -> pa.RecordBatch:
+    made = [pa.array(v, f.type) for v, f in zip(zip(*rows), arrow)] if rows else [pa.array([], f.type) for f in arrow]
+    return pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *made], names=[*columns, *arrow.names])
+
+
+_HITS = "text_hash binary, mask binary, ids array<string>"
+
+
+def _hits(texts: DataFrame, automaton: ItemAutomaton) -> DataFrame:
+    """``text_hash, mask, ids``: which words of a text one block of items hits, and the items found."""
+    shared = texts.sparkSession.sparkContext.broadcast(automaton)
+
+    def run(batches):
+        for batch in small(batches):
+            rows = []
+            for text_hash, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1))):
+                _, mask, ids = _found_in(shared.value, text)
+                if ids:
+                    rows.append((text_hash, np.packbits(mask).tobytes(), sorted(ids, key=lambda i: (i is None, i))))
+            if rows:
+                types = (pa.binary(), pa.binary(), pa.list_(pa.string()))
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*rows), types)], names=["text_hash", "mask", "ids"])
+
+    found = stored(texts.mapInArrow(run, _HITS), "item-hits")
+    shared.unpersist()
+    return found
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with ``n_words, n_hit, n_items, items_sha256, contaminated, clean_text``.
 
     ``clean_text`` is the text without its hit spans, null where nothing is hit. A null text
     has no words. Columns of these names are replaced, all others stay. Rows are independent of each other,
     so repeated rows, null ids and empty tables need no rule; without items nothing is hit.
     All items without an id found count as one in ``n_items``; the digest is over the ids there are.
+
+    Items of up to ``block_words`` words are one automaton, and documents stream past it. Of
+    more items there is one automaton after the other; each leaves the mask and the items of the texts it
+    hits, equal texts once, and these are put together for the columns.
     """
     from pyspark.sql import types as T
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -219,32 +271,50 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     kept = docs.select(*others(docs, *(name for name, _ in _RESULT)))
     extra = spark.createDataFrame([], ", ".join(f"{n} {t}" for n, t in _RESULT)).schema
     schema = T.StructType([*kept.schema.fields, *extra.fields])
-    arrow = to_arrow_schema(extra)
-    place = next(i for i, c in enumerate(kept.columns) if c.lower() == "text")
-    shared = spark.sparkContext.broadcast(item_automaton(benchmark, window))
-    nothing = hashlib.sha256(b"").hexdigest()
-
-    def run(batches):
-        automaton = shared.value
+    arrow, columns = to_arrow_schema(extra), kept.columns
+    text = next(c for c in columns if c.lower() == "text")
+    blocks = item_blocks(benchmark, window, block_words)
+    automaton, following = ItemAutomaton(next(blocks), window), next(blocks, None)
+
+    if following is None:
+        shared = spark.sparkContext.broadcast(automaton)
+
+        def run(batches):
+            for batch in small(batches):
+                yield _with_columns(batch, columns, [_described(x, *_found_in(shared.value, x)) for x in utf8(batch.column(text))], arrow)
+
+        return kept.mapInArrow(run, schema)
+
+    keyed = kept.withColumn("__text_hash", F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256)))
+    texts = keyed.select(F.col("__text_hash").alias("text_hash"), F.col(text).cast("string").alias("text"))
+    hits = _hits(texts, automaton)
+    while following is not None:
+        hits = hits.unionByName(_hits(texts, ItemAutomaton(following, window)))
+        following = next(blocks, None)
+    # A text has one row per block at most. Stored, so that the join can split the rows of a text of many copies.
+    per_text = hits.dropDuplicates(["text_hash", "ids", "mask"]).groupBy("text_hash").agg(
+        F.collect_list("mask").alias("__masks"), F.array_distinct(F.flatten(F.collect_list("ids"))).alias("__ids")
+    )
+    per_text = stored(per_text.withColumnRenamed("text_hash", "__text_hash"), "text-hits")
+
+    def described(batches):
         for batch in small(batches):
             rows = []
-            for text in utf8(batch.column(place)):
-                own = words(text)
-                mask, numbers = automaton.scan(own)
-                n_hit = int(mask.sum())
-                ids = {automaton.item_ids[i] for i in numbers}
-                named = sorted(ids - {None})
-                digest = hashlib.sha256(",".join(named).encode()).hexdigest() if named else nothing
-                clean = _without(text, mask).decode("utf-8", "replace") if n_hit else None
-                rows.append((len(own), n_hit, len(ids), digest, n_hit > 0, clean))
-            made = [pa.array(v, f.type) for v, f in zip(zip(*rows), arrow)] if rows else [pa.array([], f.type) for f in arrow]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *arrow.names])
-
-    return kept.mapInArrow(run, schema)
-
-
-def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE) -> DataFrame:
+            for x, masks, ids in zip(utf8(batch.column(text)), *(batch.column(c).to_pylist() for c in ("__masks", "__ids"))):
+                own = words(x)
+                mask = np.zeros(len(own), bool)
+                for packed in masks or ():
+                    mask |= np.unpackbits(np.frombuffer(packed, np.uint8), count=len(own)).astype(bool)
+                rows.append(_described(x, own, mask, set(ids or ())))
+            yield _with_columns(batch, columns, rows, arrow)
+
+    return keyed.join(per_text, "__text_hash", "left").mapInArrow(described, schema)
+
+
+def remove_contamination(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_coverage: float = MAX_COVERAGE, block_words: int = BLOCK_WORDS
+) -> DataFrame:
     """``docs`` whose hit spans are cut out; texts of a larger hit share are dropped whole."""
-    found = find_contamination(docs, benchmark, window)
+    found = find_contamination(docs, benchmark, window, block_words)
     stay = found.filter(F.col("n_hit") <= max_coverage * F.col("n_words"))
     return stay.withColumn("text", F.coalesce("clean_text", "text")).select(*others(docs, *(name for name, _ in _RESULT)))
