@@ -23,7 +23,6 @@ def register_label_runs(spark: SparkSession, name: str, key: tuple[str, str], la
         def eval(self, batch):
             import numpy as np
             import pyarrow as pa
-            import pyarrow.compute as pc
 
             n = batch.num_rows
             if not n:
