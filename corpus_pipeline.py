@@ -57,7 +57,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, the one with the smallest id."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
+    # Merged, so that it is the same join at every size.
+    gone = near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct().hint("merge")
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
