@@ -19,17 +19,34 @@ def plain(texts):
     return [tokenizer.encode(t or "", add_special_tokens=False).ids + [tokens.END_ID] for t in texts]
 
 
-def test_word_by_word_equals_whole_texts():
+@pytest.mark.parametrize("fold", [False, True])
+def test_word_by_word_equals_whole_texts(fold):
     with open(FILE, encoding="utf-8") as file:
-        encoder = tokens.Encoder(file.read())
+        encoder = tokens.Encoder(file.read(), fold=fold)
     got = [np.frombuffer(p, encoder.dtype).tolist() for p in encoder.encode([(t or "").encode() for t in TEXTS])]
     assert got == plain(TEXTS)
 
 
-def test_round_trip(table):
+def test_words_in_any_case_and_with_any_marks(monkeypatch):
+    """Folded words equal whole texts, also where the memo is emptied again and again."""
+    import random
+
+    monkeypatch.setattr(tokens, "MEMO", 50)
+    rng = random.Random(5)
+    letters = "abcXYZ" * 4 + "éüñøÿ×÷ßÉß\u0331\u030a'’.,;:!?-_0129<|>你"
+    texts = ["".join(rng.choice(letters + " " * 6 + "\n") for _ in range(rng.randrange(200))) for _ in range(300)]
+    texts += ["END, end. END?! H\u0331 H\u0331, A\u030a. <|ENDOFTEXT|> <|endoftext|>, it'S. it's, I'LL! 's. a's a.b a..b .a A."]
+    with open(FILE, encoding="utf-8") as file:
+        encoder = tokens.Encoder(file.read(), fold=True)
+    got = [np.frombuffer(p, encoder.dtype).tolist() for b in range(0, len(texts), 20) for p in encoder.encode([t.encode() for t in texts[b : b + 20]])]
+    assert got == plain(texts)
+
+
+@pytest.mark.parametrize("fold", [False, True])
+def test_round_trip(table, fold):
     rows = [(50 - 3 * i, t) for i, t in enumerate(TEXTS)] + [(500 + i, f"text number {i} of many") for i in range(300)] + [(None, "none"), (500, "again"), (500, "again")]
     docs = table(*rows).repartition(5)
-    store = tokens.tokenize_to_store(docs, FILE)
+    store = tokens.tokenize_to_store(docs, FILE, fold=fold)
     located = store.locate(tokens.document_keys(docs))
     read = store.read(located).collect()
     ids = {}

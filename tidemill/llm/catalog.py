@@ -29,7 +29,7 @@ def personal_data(t) -> DataFrame:
 
 
 def token_store(t) -> DataFrame:
-    store = tokens.tokenize_to_store(_texts(t), _tokenizer_file())
+    store = tokens.tokenize_to_store(_texts(t), _tokenizer_file(), fold=True)
     read = store.checksums(store.locate(tokens.document_keys(_texts(t))))
     return read.select("doc_id", "start", "n_tokens", "ids_crc32")
 

@@ -17,7 +17,9 @@ Tokenizers of which that is not true are encoded with ``by_words=False``.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,55 +36,135 @@ MAGIC = b"TIDSHRD1"
 HEADER = 16
 END_ID = 1
 KEYS_PER_FILE = 16_384
-# Words a Python worker keeps with their ids, about 200 bytes each; emptied when full.
-MEMO = 1_000_000
+# Words a Python worker keeps with their ids and parts, about 300 bytes each; emptied when full.
+MEMO = 800_000
+# Marks that may end a word.
+MARKS = b".,;:!?"
+# Words of a-z and the small letters of Latin-1, in UTF-8.
+_PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])+")
 
 _RECORD = pa.schema([("doc_id", pa.int64()), ("shard", pa.int64()), ("file", pa.string()), ("begin", pa.int64()), ("n_tokens", pa.int64())])
 
 
+class _Known(dict):
+    """Numbers of what was asked for, in order of appearance, and the ids of each number."""
+
+    def __init__(self, dtype: np.dtype):
+        self.new: list[bytes] = []
+        # The ids of number c are ids[begin[c] : begin[c + 1]].
+        self.ids, self.begin = np.empty(0, dtype), np.zeros(1, np.int64)
+
+    def __missing__(self, word: bytes) -> int:
+        self.new.append(word)
+        code = self[word] = len(self)
+        return code
+
+    def numbers(self, words: list) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+
+    def learn(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """The ids of what is new, one after the other."""
+        self.new = []
+        self.ids = np.concatenate([self.ids, ids])
+        self.begin = np.concatenate([self.begin, self.begin[-1] + np.cumsum(sizes)])
+
+    def gather(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a sequence of numbers, and where those of each end."""
+        size = self.begin[codes + 1] - self.begin[codes]
+        stop = np.cumsum(size)
+        return self.ids[np.repeat(self.begin[codes] - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)], stop
+
+
 class Encoder:
-    """Texts to raw ids."""
+    """Texts to raw ids.
+
+    ``fold`` says three things of a tokenizer with byte-level pieces: a word of Latin letters
+    (A-Z, a-z, and the small letters of Latin-1) is one piece, which normalization leaves as it
+    is but for A-Z, and A-Z count as a-z; marks at the end of such a word are pieces of their own. Then ``Word,`` needs no
+    encoding where ``word`` and ``,`` are known, and ``word`` goes to the model without the
+    steps before it.
+    """
 
     _known: dict[tuple, Encoder] = {}
 
     @classmethod
-    def shared(cls, vocabulary: str, by_words: bool) -> Encoder:
+    def shared(cls, vocabulary: str, by_words: bool, fold: bool) -> Encoder:
         """One encoder per Python worker, whose words serve all tasks that the worker runs."""
-        key = (hash(vocabulary), by_words)
+        key = (hash(vocabulary), by_words, fold)
         if key not in cls._known:
-            cls._known[key] = cls(vocabulary, by_words)
+            cls._known[key] = cls(vocabulary, by_words, fold=fold)
         return cls._known[key]
 
-    def __init__(self, vocabulary: str, by_words: bool = True, end_id: int = END_ID):
+    def __init__(self, vocabulary: str, by_words: bool = True, end_id: int = END_ID, fold: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
+        if fold:
+            self.model_only = Tokenizer.from_str(vocabulary)
+            self.model_only.normalizer = normalizers.Sequence([])
+            self.model_only.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.end = np.array([end_id], self.dtype).tobytes()
-        self.by_words, self.memo = by_words, {}
-
-    def _ids(self, texts: list[bytes]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
+        self.end = np.array([end_id], self.dtype)
+        self.by_words, self.fold = by_words, fold
+        self._clear()
+
+    def _clear(self) -> None:
+        self.words, self.parts = _Known(self.dtype), _Known(self.dtype)
+        # The end of a text has the number 0.
+        self.words[None] = 0
+        self.words.learn(self.end, np.ones(1, np.int64))
+
+    def _encoded(self, texts: list[bytes], by=None) -> list[list[int]]:
+        return [e.ids for e in (by or self.tokenizer).encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
+    def _learned(self, known: _Known) -> None:
+        """Encode what is new, all at once."""
+        plain = [self.fold and _PLAIN.fullmatch(w) is not None for w in known.new]
+        short = iter(self._encoded([w for w, p in zip(known.new, plain) if p], self.model_only) if self.fold else ())
+        long = iter(self._encoded([w for w, p in zip(known.new, plain) if not p]))
+        found = [next(short) if p else next(long) for p in plain]
+        known.learn(np.fromiter(chain.from_iterable(found), self.dtype), np.array([len(ids) for ids in found], np.int64))
+
+    def _composed(self) -> None:
+        """The ids of new words from those of their parts."""
+        parts, ends = [], []
+        for word in self.words.new:
+            base = word.rstrip(MARKS)
+            if _PLAIN.fullmatch(low := base.lower()):
+                parts.append(low)
+                if len(base) < len(word):
+                    parts.append(word[len(base) :])
+            else:
+                parts.append(word)
+            ends.append(len(parts))
+        numbers = self.parts.numbers(parts)
+        if self.parts.new:
+            self._learned(self.parts)
+        ids, stop = self.parts.gather(numbers)
+        self.words.learn(ids, np.diff(stop[np.array(ends, np.int64) - 1], prepend=0))
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """The ids of every text, with the end id."""
         if not self.by_words:
-            return [ids + self.end for ids in self._ids(texts)]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        out = []
+            return [np.append(np.array(ids, self.dtype), self.end).tobytes() for ids in self._encoded(texts)]
+        if len(self.words) > MEMO:
+            self._clear()
+        words: list[bytes | None] = []
+        ends = []
         for text in texts:
-            words = text.split()
-            new = [w for w in set(words) if w not in self.memo]
-            if new:
-                self.memo.update(zip(new, self._ids(new)))
-            out.append(b"".join(map(self.memo.__getitem__, words)) + self.end)
-        return out
-
-
-def write_shards(docs: DataFrame, folder: str, vocabulary: str, by_words: bool = True) -> DataFrame:
+            words += text.split()
+            words.append(None)
+            ends.append(len(words))
+        numbers = self.words.numbers(words)
+        if self.words.new:
+            self._composed() if self.fold else self._learned(self.words)
+        ids, stop = self.words.gather(numbers)
+        cut = [0, *stop[np.array(ends, np.int64) - 1].tolist()]
+        return [ids[b:e].tobytes() for b, e in zip(cut, cut[1:])]
+
+
+def write_shards(docs: DataFrame, folder: str, vocabulary: str, by_words: bool = True, fold: bool = False) -> DataFrame:
     """Write the shards below ``folder``; ``doc_id, shard, file, begin, n_tokens`` per document."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
@@ -91,7 +173,7 @@ def write_shards(docs: DataFrame, folder: str, vocabulary: str, by_words: bool =
         encoder, file, name, begin = None, None, new_name("shard", number, "ids"), 0
         for batch in small(batches):
             if file is None:
-                encoder = Encoder.shared(shared.value, by_words)
+                encoder = Encoder.shared(shared.value, by_words, fold)
                 store, path = opened(folder)
                 store.create_dir(path)
                 file = store.open_output_stream(f"{path}/{name}", compression=None)
@@ -214,10 +296,11 @@ class TokenStore:
         return ordered.mapInArrow(run, f"doc_id bigint, copy bigint, start bigint, n_tokens bigint, {name} {kind}")
 
 
-def tokenize_to_store(docs: DataFrame, vocabulary_file: str, by_words: bool = True) -> TokenStore:
+def tokenize_to_store(docs: DataFrame, vocabulary_file: str, by_words: bool = True, fold: bool = False) -> TokenStore:
     """Encode ``docs`` and write shards and index below the shared folder.
 
-    ``vocabulary_file`` is read on the driver and sent to the tasks. Every row gets a record, in
+    ``vocabulary_file`` is read on the driver and sent to the tasks; ``by_words`` and ``fold``
+    say what is true of the tokenizer (see the module and ``Encoder``). Every row gets a record, in
     the order of ``doc_id`` with null ids first; rows of one id have the copies 0, 1 and so on.
     A null text is empty and has the end id only. Columns other than ``doc_id`` and ``text`` are
     not read. An empty table has no shards and finds no key.
@@ -225,7 +308,7 @@ def tokenize_to_store(docs: DataFrame, vocabulary_file: str, by_words: bool = Tr
     with open(vocabulary_file, encoding="utf-8") as file:
         vocabulary = file.read()
     folder = scratch_path(docs.sparkSession, "token-shards")
-    records = stored(write_shards(docs, folder, vocabulary, by_words), "token-records")
+    records = stored(write_shards(docs, folder, vocabulary, by_words, fold), "token-records")
     shards = stored(shard_table(records), "token-shard-table")
     return TokenStore(folder, shards, build_index(records, folder))
 
