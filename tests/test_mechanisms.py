@@ -164,6 +164,16 @@ def test_sketches_merge_to_the_whole_within_their_error(spark, tmp_path):
         assert abs(rows.filter(F.col("v") <= value).count() / 60_000 - share) < 0.02
 
 
+@pytest.mark.parametrize("users", [3, 300, 9_000, 90_000])
+def test_distinct_estimate_does_not_depend_on_how_the_sketch_was_made(spark, users):
+    rows = spark.range(3 * users).selectExpr("id % 7 AS day", f"id % {users} AS user", "cast(id as double) AS v")
+    alone = sketches.estimates(sketches.build(rows.coalesce(1), [], "user", "v"), [0.5]).first()
+    once = sketches.estimates(sketches.merge(sketches.build(rows.coalesce(1), [], "user", "v"), []), [0.5]).first()
+    daily = sketches.estimates(sketches.merge(sketches.build(rows, ["day"], "user", "v"), []), [0.5]).first()
+    assert alone.n_distinct == once.n_distinct == daily.n_distinct
+    assert abs(daily.n_distinct - users) <= 4 * 1.04 / 2 ** (sketches.LOG_BUCKETS / 2) * users
+
+
 def test_variants_and_broken_rows(spark):
     texts = ['{"k": 1, "s": "x", "o": {"p": [1, 2]}}', '{"k": "no number"}', '{"k": 2.5}', "[1, 2]", "7", "{", '{"k": 1', "", None, '{"other": true}']
     rows = spark.createDataFrame(list(enumerate(texts)), "id int, props string")
