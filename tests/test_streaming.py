@@ -182,6 +182,21 @@ def test_alerts_and_a_restart(stream):
     assert sorted(map(tuple, got)) == brute_bursts(events, 3, 120) and got
 
 
+@pytest.mark.parametrize("rows_per_file", [10, 1_000])
+def test_alerts_of_a_table_replayed_from_many_partitions(spark, stream, tmp_path, rows_per_file):
+    # All of the first slice, none of the second, few rows in the third.
+    minutes = [*range(0, 700, 2), 1500, 1501, 1502, *range(2200, 2999, 9), 3000]
+    events = [(i, m, i % 5, "error", 1.0) for i, m in enumerate(minutes)]
+    made = [(i, at(m), u, k, v) for i, m, u, k, v in events]
+    rows = stream.session.createDataFrame(made, SCHEMA).repartition(6)
+    folder = str(tmp_path / "replayed")
+    per_batch = feed.replay(rows, folder, "ts", 4, rows_per_file=rows_per_file)
+    assert (per_batch > 1) == (rows_per_file == 10)
+    read = feed.files(stream.session, folder, rows.schema, per_batch)
+    got = feed.drained(spark, bursts(read, "error", 3, "2 hours", "1 minute"), "alerts")
+    assert sorted(map(tuple, got.collect())) == brute_bursts(events, 3, 120)
+
+
 def test_timers_let_the_state_go(stream):
     for k in range(4):
         stream.add(*[(100 * k + i, 1440 * k + i, 100 * k + i, "error", 1.0) for i in range(50)])

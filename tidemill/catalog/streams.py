@@ -21,12 +21,12 @@ _CENTS = "CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS total_cents
 
 
 def _arrivals(t, by: str = "ts", rows: DataFrame | None = None):
-    """The session for the stream, and the events as files in the order of ``by``."""
+    """The session for the stream, and the events as files in the order of ``by``, a slice a micro-batch."""
     rows = t.events if rows is None else rows
     folder = scratch_path(t.spark, "arrivals")
-    replay(rows, folder, by, SLICES)
+    per_batch = replay(rows, folder, by, SLICES)
     session = stream_session(t.spark)
-    return session, folder, rows.schema
+    return session, folder, rows.schema, per_batch
 
 
 def _text(df: DataFrame, *columns: str) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from tidemill.runtime import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Rows of a file of a replayed table, about.
+ROWS_PER_FILE = 1_000_000
 
 
 def stream_session(spark: SparkSession) -> SparkSession:
@@ -23,16 +25,18 @@ def stream_session(spark: SparkSession) -> SparkSession:
     return session
 
 
-def replay(rows: DataFrame, folder: str, by: str, slices: int) -> None:
+def replay(rows: DataFrame, folder: str, by: str, slices: int, rows_per_file: int = ROWS_PER_FILE) -> int:
     """Write ``rows`` to ``folder`` as ``slices`` arrivals, one after the other in the order of ``by``.
 
     Slices cover equal spans of ``by``; rows without a value arrive last. A slice is a filter
-    on ``by``, which reaches the scan.
+    on ``by``, which reaches the scan. The files of one slice are in no order, so they belong in
+    one micro-batch: every slice has the same number of files, which is returned for ``files``.
     """
-    low, high = rows.agg(F.min(by), F.max(by)).first()
+    low, high, n = rows.agg(F.min(by), F.max(by), F.count(F.lit(1))).first()
     if low is None:
         rows.write.mode("append").parquet(folder)
-        return
+        return 1
+    per_slice = max(1, -(-n // (slices * rows_per_file)))
     borders = [low + (high - low) * k / slices for k in range(1, slices)]
     for k in range(slices):
         mine = F.lit(True)
@@ -42,7 +46,15 @@ def replay(rows: DataFrame, folder: str, by: str, slices: int) -> None:
             mine &= F.col(by) < F.lit(borders[k])
         else:
             mine |= F.col(by).isNull()
-        rows.filter(mine).write.mode("append").parquet(folder)
+        rows.filter(mine).repartition(per_slice).write.mode("append").parquet(folder)
+        # A partition without rows leaves no file; empty files take the place of those.
+        for _ in range((k + 1) * per_slice - _file_count(rows, folder)):
+            rows.limit(0).coalesce(1).write.mode("append").parquet(folder)
+    return per_slice
+
+
+def _file_count(rows: DataFrame, folder: str) -> int:
+    return len(rows.sparkSession.read.schema(rows.schema).parquet(folder).inputFiles())
 
 
 def files(session: SparkSession, folder: str, schema, per_batch: int = 1) -> DataFrame:
