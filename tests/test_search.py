@@ -136,3 +136,18 @@ def test_text_output_keeps_its_columns(spark, tmp_path):
     for null, want in (("", ["\t\t", "a\t\tc"]), ("?", ["?\t?\t?", "a\t?\tc"])):
         write_text(df, str(tmp_path / "out"), null=null)
         assert sorted(r[0] for r in spark.read.text(str(tmp_path / "out")).collect()) == want
+
+
+def test_postings_are_counted_in_tasks_of_bounded_input(spark, rows, tmp_path, monkeypatch):
+    """More text gives more tasks, not larger ones, and their postings are not shuffled."""
+    path = str(tmp_path / "docs")
+    texts = spark.range(400).selectExpr("id AS doc_id", "concat('rose red ', id % 7, ' rose w', char(97 + id % 26)) AS text")
+    texts.coalesce(1).write.parquet(path)
+    docs = spark.read.parquet(path)
+    want = rows(I.term_freq(docs))
+    assert len(want) == 3 * 400
+    monkeypatch.setattr(I, "TASK_BYTES", 100)
+    found = I.term_freq(docs)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert found.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
+    assert rows(found) == want

@@ -7,22 +7,27 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.text import tokenize
 from tidemill.operators.counts import unnested
-from tidemill.runtime import attach, spread_input
+from tidemill.runtime import attach, partitions_by_size
 
 # Document numbers or list positions that share their upper bits form a block of at most
 # 2 ** BLOCK_BITS entries of one term.
 BLOCK_BITS = 16
+# Bytes of documents whose postings are counted in one task.
+TASK_BYTES = 4 << 20
 
 
 def term_freq(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", unit: tuple[str, ...] = ()) -> DataFrame:
     """``term, doc_id, tf``: the flat postings, which all other forms come from.
 
     ``unit`` names further columns that make up what is indexed, as ``("line_no",)`` for lines.
+    The texts are dealt by document over partitions of bounded size, which count their postings
+    by themselves: a task holds those of its own texts, and the postings are not shuffled.
     """
     ids = [F.col(doc_id).alias("doc_id"), *unit]
-    tokens = spread_input(docs.select(doc_id, *unit, text), doc_id).select(
-        *ids, F.explode_outer(tokenize(F.col(text))).alias("term")
-    )
+    texts = docs.select(doc_id, *unit, text)
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    dealt = texts.repartition(partitions_by_size(texts, TASK_BYTES, cores), doc_id)
+    tokens = dealt.select(*ids, F.explode_outer(tokenize(F.col(text))).alias("term"))
     return unnested(tokens, "term").groupBy("term", "doc_id", *unit).agg(F.count(F.lit(1)).alias("tf"))
 
 
