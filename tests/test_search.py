@@ -151,3 +151,31 @@ def test_postings_are_counted_in_tasks_of_bounded_input(spark, rows, tmp_path, m
     assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert found.rdd.getNumPartitions() > spark.sparkContext.defaultParallelism
     assert rows(found) == want
+
+
+def test_an_index_computes_its_postings_once(spark, rows, tmp_path):
+    """No sample is taken first; what one bucket has too much of is still cut into several sorted files."""
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(number):
+        counted.add(1)
+        return number
+
+    frequent = F.when(F.col("id") % 4 > 0, "the").otherwise(F.concat(F.lit("w"), F.col("id") % 97))
+    postings = spark.range(0, 20_000, 1, 8).select(frequent.alias("term"), F.udf(seen, "bigint")("id").alias("doc_id"), F.lit(1).alias("tf"))
+    path = str(tmp_path / "index")
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        write_index(postings, path, 8)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert counted.value == 20_000
+    stored = spark.read.parquet(path).withColumn("file", F.input_file_name())
+    assert stored.filter("term = 'the'").select("file").distinct().count() > 1 and stored.filter("term = 'the'").count() == 15_000
+    ordered = F.array_sort("kept") == F.col("kept")
+    kept = stored.withColumn("at", F.monotonically_increasing_id()).groupBy("file").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "term", "doc_id"))), lambda r: F.struct(r["term"], r["doc_id"])).alias("kept"))
+    assert kept.filter(~ordered).count() == 0
