@@ -180,3 +180,44 @@ def test_components(spark, hot_rows):
 def test_components_without_edges(spark, rows):
     edges = spark.createDataFrame([], "src bigint, dst bigint")
     assert rows(weak_components(spark.range(3).select("id"), edges)) == [(0, 0), (1, 1), (2, 2)]
+
+
+ODD = [(1, 2), (1, 2), (1, 2), (1, 3), (1, 4), (1, None), (2, 1), (3, 99), (3, 1), (None, 1), (77, 1), (77, 2), (77, 3)]
+
+
+@pytest.mark.parametrize("options", [{}, {"edges_per_part": 2, "hot_rows": 1}])
+def test_uniform_rank_of_odd_edges(spark, options):
+    """Copies, edges to or from no node and nulls; also with edges split into parts."""
+    nodes, edges = spark.range(1, 6).select("id"), spark.createDataFrame(ODD, "src bigint, dst bigint")
+    got = {r["id"]: r["rank"] for r in R.uniform(nodes, edges, 4, **options).collect()}
+    walk = {r["id"]: r["rank"] for r in R.personalized(nodes, edges, [1], 4, **options).collect()}
+    uniform, personal = dict.fromkeys(range(1, 6), 0.2), {n: float(n == 1) for n in range(1, 6)}
+    degree = {s: sum(1 for a, _ in ODD if a == s) for s, _ in ODD}
+
+    def arrived(rank):
+        mass = dict.fromkeys(rank, 0.0)
+        for s, d in ODD:
+            if s in rank and d in rank:
+                mass[d] += rank[s] / degree[s]
+        return mass, 1 - sum(mass.values())
+
+    for _ in range(4):
+        mass, lost = arrived(uniform)
+        uniform = {n: 0.03 + 0.85 * (m + lost / 5) for n, m in mass.items()}
+        mass, lost = arrived(personal)
+        personal = {n: 0.85 * m + (n == 1) * (0.15 + 0.85 * lost) for n, m in mass.items()}
+    assert got == pytest.approx(uniform) and walk == pytest.approx(personal)
+
+
+@pytest.mark.parametrize("landed", [True, False])
+def test_edges_are_kept_as_pieces(spark, landed):
+    """A step reads a row per node and piece, not one per edge, and no piece grows with the node or with copies."""
+    edges = spark.range(4000).select((F.col("id") % 40).alias("src"), (F.col("id") % 1000).alias("dst"))
+    edges = edges.union(spark.range(900).select(F.lit(7), F.col("id"))).union(spark.range(5000).select(F.lit(8), F.lit(9)))
+    _, links = R.prepare(spark.range(1000).select("id"), edges, edges_per_part=200, landed=landed)
+    kept = links.select("src", "part", "share", F.size("targets").alias("n")).collect()
+    assert len(kept) < 120 and max(r["n"] for r in kept) <= 300
+    sent = {}
+    for r in kept:
+        sent[r["src"]] = sent.get(r["src"], 0) + r["share"] * r["n"]
+    assert sent == pytest.approx(dict.fromkeys(range(40), 1.0))

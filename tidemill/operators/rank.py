@@ -19,44 +19,76 @@ JUMP = 0.15
 EDGES_PER_PART = 100_000
 
 
+def _adjacency(placed: DataFrame) -> DataFrame:
+    """A row per piece of a node's out-edges with one share: ``src, part, share, dst_parts, targets``.
+
+    Edges that know the parts of their target make several rows of a piece, whose sum is the degree.
+    """
+    landed = "dst_parts" in placed.columns
+    rest = ["dst_parts"] if landed else []
+    lists = placed.groupBy("src", "part", "degree", "copies", *rest).agg(
+        F.collect_list("dst").alias("targets"), (F.col("copies") * F.count(F.lit(1))).alias("sent")
+    )
+    whole = F.sum("sent").over(Window.partitionBy("src", "part")) if landed else F.col("sent")
+    parts = F.col("dst_parts") if landed else F.lit(None).cast("int").alias("dst_parts")
+    return lists.select("src", "part", (F.col("copies") / F.coalesce("degree", whole)).alias("share"), parts, "targets")
+
+
+def _placed(edges: DataFrame, heavy: DataFrame, edges_per_part: int) -> DataFrame:
+    """``src, part, degree, copies, dst``: edges with the piece they belong to.
+
+    Only the copies of edges of nodes with several pieces are united, which have a ``degree`` here; the
+    others are one piece of bounded size as they are. ``heavy`` has fewer rows than there are pieces
+    of ``edges_per_part`` edges, and is broadcast.
+    """
+    one = F.lit(1).cast("bigint")
+    plain = edges.select("src", F.lit(0).alias("part"), F.lit(None).cast("bigint").alias("degree"), one.alias("copies"), "dst")
+    if heavy.isEmpty():
+        return plain
+    known = F.broadcast(heavy)
+    pieces = F.ceil(F.col("degree") / edges_per_part)
+    united = edges.join(known, "src").groupBy("src", "degree", "dst").agg(F.count(F.lit(1)).alias("copies"))
+    part = F.pmod(F.xxhash64("dst"), pieces).cast("int")
+    return plain.join(known.select("src"), "src", "left_anti").unionByName(united.withColumn("part", part))
+
+
 def prepare(
-    nodes: DataFrame, edges: DataFrame, edges_per_part: int = EDGES_PER_PART, hot_rows: int | None = None
+    nodes: DataFrame,
+    edges: DataFrame,
+    edges_per_part: int = EDGES_PER_PART,
+    hot_rows: int | None = None,
+    landed: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
-    """Nodes as ``id, parts`` and edges as ``src, part, dst, share, dst_parts``, both kept.
-
-    The edges are written once, partitioned and sorted by (src, part) for the joins of the steps.
-    ``share`` is what a node sends along the edge. Copies of an edge become one edge of larger
-    share. The out-edges of a node with a great many are stored in several parts, so that each
-    step joins ranks with pieces of bounded size. Edges to ids without a node are left out
-    after the shares are set; their mass then counts as missing. Two records for one id are an
-    error when the nodes are read.
+    """Nodes as ``id, parts`` and edges as ``src, part, share, dst_parts, targets``, both kept.
+
+    The edges are written once, gathered, partitioned and sorted by (src, part) for the joins of the
+    steps. ``share`` is what a node sends to each target; copies of an edge count repeatedly. The
+    out-edges of a node with a great many are stored in several parts, so that each step joins
+    ranks with pieces of bounded size. Edges to ids without a node are left out after the shares
+    are set; their mass then counts as missing. Without ``landed`` they stay, and ``dst_parts`` is
+    null: a walk that starts with every node at home drops them where they arrive. Two records
+    for one id are an error when the nodes are read.
     """
-    links = cut_lineage(edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("copies")))
+    edges = edges.filter(F.col("src").isNotNull())
     zero, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
-    marks = (
-        nodes.select("id", one.alias("records"), zero.alias("degree"), zero.alias("targets"), zero.alias("origins"))
-        .union(links.select("src", zero, "copies", one, zero))
-        .union(links.select("dst", zero, zero, zero, one))
+    marks = nodes.select("id", one.alias("records"), zero.alias("degree"), zero.alias("origins")).union(
+        edges.select("src", zero, one, zero)
     )
-    sums = [F.sum(c).alias(c) for c in ("records", "degree", "targets", "origins")]
+    if landed:
+        marks = marks.union(edges.groupBy("dst").agg(F.count(F.lit(1)).alias("n")).select("dst", zero, zero, "n"))
+    sized = cut_lineage(marks.groupBy("id").agg(*[F.sum(c).alias(c) for c in ("records", "degree", "origins")]))
     twice = F.raise_error(F.format_string("%d records for node %d", "records", "id")).cast("int")
-    parts = F.ceil(F.col("targets") / edges_per_part).cast("int")
-    known = cut_lineage(
-        marks.groupBy("id")
-        .agg(*sums)
-        .filter(F.col("records") > 0)
-        .select("id", "degree", "targets", "origins", F.when(F.col("records") > 1, twice).otherwise(parts).alias("parts"))
-    )
-    senders = known.filter(F.col("parts") > 0).select(F.col("id").alias("src"), "degree", "targets", "parts")
-    shared = attach(links, senders, ["src"], ["dst"], "targets", hot_rows=hot_rows).select(
-        "src",
-        F.pmod(F.xxhash64("dst"), F.col("parts")).cast("int").alias("part"),
-        "dst",
-        (F.col("copies") / F.col("degree")).alias("share"),
+    parts = F.ceil(F.col("degree") / edges_per_part).cast("int")
+    known = sized.filter(F.col("records") > 0).select(
+        "id", F.when(F.col("records") > 1, twice).otherwise(parts).alias("parts"), "origins"
     )
-    targets = known.select(F.col("id").alias("dst"), F.col("parts").alias("dst_parts"), "origins")
-    landed = attach(shared, targets, ["dst"], ["src"], "origins", hot_rows=hot_rows)
-    return known.select("id", "parts"), keep_partitioned(landed.select("src", "part", "dst", "share", "dst_parts"), "src", "part")
+    heavy = sized.filter(F.col("degree") > edges_per_part).select(F.col("id").alias("src"), "degree")
+    placed = _placed(edges, heavy, edges_per_part)
+    if landed:
+        targets = known.select(F.col("id").alias("dst"), F.col("parts").alias("dst_parts"), "origins")
+        placed = attach(placed, targets, ["dst"], ["src"], "origins", "left", hot_rows).drop("origins")
+    links = keep_partitioned(placed, "src", "part", then=_adjacency)
+    return known.select("id", "parts"), links.filter(F.col("dst_parts").isNotNull()) if landed else links
 
 
 def start_at(known: DataFrame, sources: Sequence[int]) -> DataFrame:
@@ -77,7 +109,7 @@ def distribute(state: DataFrame, edges: DataFrame, home: DataFrame) -> DataFrame
         F.col("id").alias("src"), "source", "rank", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
     )
     arrived = sent.join(edges, ["src", "part"]).select(
-        F.col("dst").alias("id"), "source", (F.col("rank") * F.col("share")).alias("mass"), F.col("dst_parts").alias("parts")
+        F.explode("targets").alias("id"), "source", (F.col("rank") * F.col("share")).alias("mass"), F.col("dst_parts").alias("parts")
     )
     return (
         arrived.unionByName(home.select("id", "source", F.lit(0.0).alias("mass"), "parts"))
@@ -160,12 +192,13 @@ def run(spark: SparkSession, base: str, start: int, end: int, jump: float = JUMP
 
 def uniform(nodes: DataFrame, edges: DataFrame, iterations: int, jump: float = JUMP, **options: int) -> DataFrame:
     """``id, rank, log_rank``: jump and missing mass are shared by all nodes alike."""
-    known, links = prepare(nodes, edges, **options)
+    known, links = prepare(nodes, edges, landed=False, **options)
     total = known.count()
     home = known.select("id", F.lit(0).cast("bigint").alias("source"), "parts")
     state = home.withColumn("rank", F.lit(1.0 / total))
     for _ in range(iterations):
-        received = cut_lineage(distribute(state, links, home))
+        # Every node is at home and knows its parts; what arrives elsewhere is missing.
+        received = cut_lineage(distribute(state, links, home).filter(F.col("parts").isNotNull()))
         missing: Column = missing_mass(received).select("missing").scalar()
         rank = jump / total + (1 - jump) * (F.col("mass") + missing / total)
         state = received.select("id", "source", rank.alias("rank"), "parts")
