@@ -111,3 +111,23 @@ def test_word_count_equals_plain_counting(text_lines):
     text = "It was the best of times, it was the worst of times;"
     got = {r["term"]: r["n"] for r in N.word_count(text_lines(text, text)).collect()}
     assert got == {w: 2 * n for w, n in Counter(text.lower().replace(",", "").replace(";", "").split()).items()}
+
+
+@pytest.mark.parametrize("shares", [B.relative_frequencies, lambda counts: unroll(B.relative_frequency_stripes(counts, blocks=5), "a", "b", "f")])
+def test_bigrams_are_counted_once(spark, rows, shares):
+    """Totals and shares read kept counts; a word in every block has one total."""
+    counted = spark.sparkContext.accumulator(0)
+
+    def seen(number):
+        counted.add(1)
+        return number
+
+    word = F.when(F.col("id") < 900, "the").otherwise(F.concat(F.lit("w"), F.col("id") % 7)).alias("a")
+    counts = spark.range(0, 1000, 1, 4).select(word, F.concat(F.lit("x"), "id").alias("b"), F.udf(seen, "bigint")(F.col("id") % 3 + 1).alias("n"))
+    got = {(a, b): v for a, b, v in rows(shares(counts)) if b != "*"}
+    assert counted.value == 1000
+    given = [("the" if i < 900 else f"w{i % 7}", f"x{i}", i % 3 + 1) for i in range(1000)]
+    totals = Counter()
+    for a, _, n in given:
+        totals[a] += n
+    assert got == pytest.approx({(a, b): n / totals[a] for a, b, n in given})

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.functions.text import tokenize
 from tidemill.operators.counts import unnested
-from tidemill.operators.stripes import STRIPE_BLOCKS, stripes
-from tidemill.runtime import attach
+from tidemill.operators.stripes import STRIPE_BLOCKS, block_of, cut, gather
+from tidemill.runtime import attach, scratch_path
+from tidemill.sources.sinks import write_table
 
 
 def bigrams(lines: DataFrame) -> DataFrame:
@@ -26,9 +27,9 @@ def bigram_counts(lines: DataFrame) -> DataFrame:
     return bigrams(lines).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _with_marginals(counts: DataFrame, hot_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
-    marginals = counts.groupBy("a").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("fan"))
-    return attach(counts, marginals, ["a"], ["b"], "fan", hot_rows=hot_rows), marginals
+def _kept(counts: DataFrame) -> DataFrame:
+    """The counts as a table. Both uses below read it; in one plan, every use would count again."""
+    return write_table(counts, scratch_path(counts.sparkSession, "bigrams"))
 
 
 def relative_frequencies(counts: DataFrame, hot_rows: int | None = None) -> DataFrame:
@@ -37,7 +38,9 @@ def relative_frequencies(counts: DataFrame, hot_rows: int | None = None) -> Data
     The totals come from an aggregate joined back, not from a window over ``a``: a window
     would bring all successors of a frequent word into one task.
     """
-    joined, marginals = _with_marginals(counts, hot_rows)
+    kept = _kept(counts)
+    marginals = kept.groupBy("a").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("fan"))
+    joined = attach(kept, marginals, ["a"], ["b"], "fan", hot_rows=hot_rows)
     shares = joined.select("a", "b", (F.col("n") / F.col("total")).alias("value"))
     return shares.unionByName(
         marginals.select("a", F.lit("*").alias("b"), F.col("total").cast("double").alias("value"))
@@ -45,6 +48,13 @@ def relative_frequencies(counts: DataFrame, hot_rows: int | None = None) -> Data
 
 
 def relative_frequency_stripes(counts: DataFrame, blocks: int = STRIPE_BLOCKS, hot_rows: int | None = None) -> DataFrame:
-    """``a, block, part, stripe``: the shares of all successors of ``a`` as maps."""
-    joined, _ = _with_marginals(counts, hot_rows)
-    return stripes(joined.select("a", "b", (F.col("n") / F.col("total")).alias("f")), "a", "b", "f", blocks)
+    """``a, block, part, stripe``: the shares of all successors of ``a`` as maps.
+
+    The total of ``a`` is given to each of its blocks, so it meets the rows where their maps are made
+    and these are shuffled once. The blocks spread a frequent word whatever ``hot_rows`` says.
+    """
+    kept = _kept(counts)
+    sums = kept.groupBy("a", block_of("b", blocks).alias("block")).agg(F.sum("n").alias("sum"))
+    totals = sums.select("a", "block", F.sum("sum").over(Window.partitionBy("a")).alias("total"))
+    joined = cut(kept, "a", "b", blocks).join(totals, ["a", "block"])
+    return gather(joined.select("a", "block", "part", "b", (F.col("n") / F.col("total")).alias("f")), "a", "b", "f")
